@@ -32,7 +32,7 @@ def safe_divide(a: ColumnOrName, b: ColumnOrName) -> Column:
 
 
 def strip_quotes(c: ColumnOrName) -> Column:
-    return F.trim(F.lit('"'), as_col(c))
+    return F.trim(as_col(c), F.lit('"'))
 
 
 def first_int(c: ColumnOrName) -> Column:

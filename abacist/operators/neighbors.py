@@ -67,19 +67,22 @@ def nearest(
     wanted = query_blocks.mapInPandas(plan, "q_cell int, q_part long, cell int")
     point_blocks = located_points.select("cell", "part").distinct()
     pairs = materialise(wanted.join(point_blocks, "cell"))
+    keys = ["q_cell", "q_part", "cell", "part"]
     left = pairs.join(
         located_queries.select(F.col("cell").alias("q_cell"), F.col("part").alias("q_part"), "id", "x"),
         ["q_cell", "q_part"],
     )
-    right = pairs.join(located_points.select("cell", "part", "id", "x"), ["cell", "part"])
-    keys = ["q_cell", "q_part", "cell", "part"]
+    # the cogroup needs columns of its own on each side
+    right = pairs.join(located_points.select("cell", "part", "id", "x"), ["cell", "part"]).select(
+        *[F.col(k).alias(f"p_{k}") for k in keys], F.col("id").alias("p_id"), F.col("x").alias("p_x")
+    )
     id_type = points.schema["id"].dataType.simpleString()
 
     def compare(mine: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         if len(mine) == 0 or len(others) == 0:
             return pd.DataFrame({"id": [], "neighbour": [], "distance": []})
-        a, b = np.stack(mine["x"]), np.stack(others["x"])
-        ids, other_ids = mine["id"].to_numpy(), others["id"].to_numpy()
+        a, b = np.stack(mine["x"]), np.stack(others["p_x"])
+        ids, other_ids = mine["id"].to_numpy(), others["p_id"].to_numpy()
         order = np.argsort(other_ids, kind="stable")
         b, other_ids = b[order], other_ids[order]
         rows = []
@@ -92,7 +95,7 @@ def nearest(
             rows.append(pd.DataFrame({"id": ids[i], "neighbour": other_ids[best], "distance": d[best]}))
         return pd.concat(rows)
 
-    candidates = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+    candidates = left.groupBy(*keys).cogroup(right.groupBy(*[f"p_{k}" for k in keys])).applyInPandas(
         compare, f"id {id_type}, neighbour {id_type}, distance double"
     )
     best = _smallest(candidates, k)

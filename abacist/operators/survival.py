@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abacist.operators.aggregates import max_all
 from abacist.operators.ordered import GROUP_LIMIT, Running, running
@@ -71,7 +72,7 @@ def split_by_quantile(df: DataFrame, col: str, p: float, name: str = "group") ->
     return df.withColumn(name, (F.col(col) > F.lit(cut)).cast("int"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _chi_square_tail(x: pd.Series) -> pd.Series:
     """Upper tail of chi-square with one degree of freedom; used on one-row results."""
     return x.map(lambda v: math.erfc(math.sqrt(max(v, 0.0) / 2.0)) if v == v else v)

@@ -61,7 +61,7 @@ def ma_forecast(
     placed = position(df, [series], order, "__pos", **how)
     start = n_train - window
     seed = placed.where((F.col("__pos") > start) & (F.col("__pos") <= n_train)).groupBy(series).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("__pos", F.col(col).cast("double")))), lambda s: s[col])
+        F.transform(F.sort_array(F.collect_list(F.struct("__pos", F.col(col).cast("double").alias("v")))), lambda s: s["v"])
         .alias("seed")
     )
     length = placed.groupBy(series).agg((F.count(F.lit(1)) - n_train).alias("horizon"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abacist.sources.tables import conform
@@ -21,6 +22,18 @@ def in_window(df: DataFrame, date_col: str, as_of: date, days: int) -> DataFrame
     return df.where(F.col(date_col).between(F.lit(first), F.lit(last)))
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Overwrite replaces only the partitions that get rows, for the duration of one insert."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def reload_window(
     source: DataFrame,
     target: str,
@@ -45,13 +58,14 @@ def reload_window(
         rows = rows.where(F.col(name).isin(values))
     rows = conform(rows, schema)
     keys = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
+    part_cols = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
     first, last = window_of(as_of, days)
 
-    # One hash partition per partition value would put a hot day in one task, so rows are not
-    # repartitioned by day; each task writes the days it holds.
-    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+    # Rebalancing gathers each partition's rows into few files and splits a partition that is too
+    # large for one task.
+    with _dynamic_overwrite(spark):
+        rows.hint("rebalance", *part_cols).write.insertInto(target, overwrite=True)
 
-    part_cols = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
     filled = {
         tuple(str(v) for v in r)
         for r in rows.select(*part_cols).distinct().collect()

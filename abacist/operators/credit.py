@@ -6,12 +6,12 @@ import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from abacist.functions.scalars import finite_or_zero, safe_divide
 from abacist.operators.aggregates import is_numeric
+from abacist.operators.cells import cells
 from abacist.operators.quantiles import exact_quantiles
 from abacist.session import materialise
 
@@ -46,7 +46,7 @@ def mono_bins(
         parts = tallies.get(x, {})
         if x in at:
             inside = [(k, parts[k]) for k in sorted(k for k in parts if k is not None)]
-            for count, event, low, high, _ in _choose_bins(inside, cuts[x], at[x], fallback[x], max_bin):
+            for count, event, low, high in _choose_bins(inside, cuts[x], at[x], fallback[x], max_bin):
                 rows.append((x, low, high, None, count, event))
         if None in parts:
             count, event = parts[None][:2]
@@ -60,57 +60,33 @@ def _forced_edges(q: list[float]) -> list[float]:
 
 
 def _interval_tallies(df: DataFrame, y: str, cuts: Mapping[str, list[float]]):
-    """Per column and interval (a, b] between cut points: count, events, min, max and sum of x."""
+    """Per column and interval (a, b] between cut points: count, events, min and max of x."""
     names = list(cuts)
     if not names:
         return {}
-    # Bucketizer intervals are closed on the left; on negated values they are closed on the right
-    flipped = df.select(
-        F.col(y).cast("long").alias("__y"), *[(-F.col(x).cast("double")).alias(f"v{i}") for i, x in enumerate(names)]
-    )
-    splits = [[-math.inf, *[-c for c in reversed(cuts[x])], math.inf] for x in names]
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(f"b{i}").cast("int").alias("b"), F.col(f"v{i}").alias("v"))
-        for i in range(len(names))
-    ]))
-    bucketed = Bucketizer(
-        splitsArray=splits,
-        inputCols=[f"v{i}" for i in range(len(names))],
-        outputCols=[f"b{i}" for i in range(len(names))],
-        handleInvalid="keep",
-    ).transform(flipped.fillna(math.nan, subset=[f"v{i}" for i in range(len(names))]))
-    got = (
-        bucketed.select("__y", cells.alias("c"))
-        .select("__y", "c.i", "c.b", F.nanvl("c.v", F.lit(None)).alias("v"))
-        .groupBy("i", F.when(F.col("v").isNotNull(), F.col("b")).alias("b"))
-        .agg(
-            F.count(F.lit(1)).alias("n"), F.sum("__y").alias("e"),
-            F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("v").alias("s"),
-        )
-        .collect()
-    )
+    # cells are closed on the left; on negated values they are closed on the right
+    flipped = df.select(F.col(y).cast("long").alias("__y"), *[(-F.col(x).cast("double")).alias(x) for x in names])
+    got = cells(flipped, {x: [-c for c in reversed(cuts[x])] for x in names}, keep=["__y"]).groupBy("i", "cell").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("__y").alias("e"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+    ).collect()
     out: dict[str, dict] = {}
     for r in got:
-        x = names[r["i"]]
-        if r["b"] is None:
-            out.setdefault(x, {})[None] = (r["n"], r["e"], None, None, None)
+        mine = out.setdefault(names[r["i"]], {})
+        if r["cell"] is None:
+            mine[None] = (r["n"], r["e"], None, None)
         else:
-            # bucket b of the negated values lies above cut number len(cuts)-1-b
-            upper = len(cuts[x]) - r["b"]
-            out.setdefault(x, {})[upper] = (r["n"], r["e"], -r["hi"], -r["lo"], -r["s"])
+            mine[len(cuts[names[r["i"]]]) - r["cell"]] = (r["n"], r["e"], -r["hi"], -r["lo"])
     return out
 
 
 def _merge(inside, cuts: list[float], edges: list[float]):
     """Interval tallies joined into the bins between edges; None for a bin without rows."""
     bins = [None] * (len(edges) - 1)
-    for k, (n, e, lo, hi, s) in inside:
+    for k, (n, e, lo, hi) in inside:
         upper = cuts[min(k, len(cuts) - 1)]
         b = next((i for i, edge in enumerate(edges[1:]) if upper <= edge), len(bins) - 1)
         old = bins[b]
-        bins[b] = (n, e, lo, hi, s) if old is None else (
-            old[0] + n, old[1] + e, min(old[2], lo), max(old[3], hi), old[4] + s
-        )
+        bins[b] = (n, e, lo, hi) if old is None else (old[0] + n, old[1] + e, min(old[2], lo), max(old[3], hi))
     return bins
 
 
@@ -185,9 +161,11 @@ def split_kinds(df: DataFrame, xs: Sequence[str]) -> tuple[list[str], list[str]]
     return mono, [x for x in xs if x not in mono]
 
 
-def bin_all(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
+def bin_all(
+    df: DataFrame, y: str, xs: Sequence[str], kinds: tuple[Sequence[str], Sequence[str]] | None = None
+) -> DataFrame:
     """Bins with weight of evidence and information value of every column."""
-    mono, chars = split_kinds(df, xs)
+    mono, chars = kinds or split_kinds(df, xs)
     sets = ([mono_bins(df, y, mono)] if mono else []) + ([char_bins(df, y, chars)] if chars else [])
     bins = sets[0] if len(sets) == 1 else sets[0].unionByName(sets[1])
     return woe_iv(bins)
@@ -250,8 +228,8 @@ def refit_with_rejects(
         part = part.select(y, *xs)
         rows = part if rows is None else rows.unionByName(part)
     rows = materialise(rows)
-    bins = materialise(bin_all(rows, y, xs))
     mono, chars = split_kinds(rows, xs)
+    bins = materialise(bin_all(rows, y, xs, (mono, chars)))
     return bins, fit(woe_transform(rows, bins, mono, chars))
 
 

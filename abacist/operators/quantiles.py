@@ -1,183 +1,184 @@
 """Exact quantiles of columns of any length.
 
-The built-in exact percentile keeps every distinct value of a group in one task. Here the wanted
-ranks are bracketed first: an approximate sketch proposes two bounds around each rank, one counting
-pass proves that the rank lies between them, and only the rows between proven bounds are ranked.
-All columns and all ranks share each pass. Results are a handful of numbers, returned to the caller.
+The built-in exact percentile keeps every distinct value of a group in one task. Here the rows are
+first cut at bounds that an approximate sketch proposes around each wanted rank, and one counting
+pass over the cuts shows which interval holds the rank. Intervals that are still large are cut again;
+the values of the small ones are ranked. All columns and all ranks share each pass, and nothing but
+interval counts and the wanted values themselves returns to the caller.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from abacist.operators.cells import cells
+
 BAND_LIMIT = 1_000_000
-"""Rows between two proven bounds that may be ranked by one task."""
+"""Distinct values of one interval that a single task may rank."""
 
 SKETCH_ACCURACY = 10_000
+ROUNDS = 8
+
+
+@dataclass
+class Span:
+    """Values in [low, high) of a column: rows below and inside, an upper bound of the number of
+    distinct values, and the ranks looked for."""
+
+    name: str
+    low: float
+    high: float
+    below: int
+    rows: int
+    values: int
+    ranks: list[int]
 
 
 def order_statistics(
-    df: DataFrame,
-    ranks: Mapping[str, Sequence[int]],
-    counts: Mapping[str, int],
-    band_limit: int = BAND_LIMIT,
+    df: DataFrame, ranks: Mapping[str, Sequence[int]], counts: Mapping[str, int], band_limit: int = BAND_LIMIT,
+    distinct: Mapping[str, int] | None = None,
 ) -> dict[tuple[str, int], float]:
-    """Value at each zero-based rank among the non-null values of each column."""
+    """Value at each zero-based rank among the non-missing values of each column.
+
+    ``distinct`` may bound the number of distinct values: a column with few is never cut.
+    """
     found: dict[tuple[str, int], float] = {}
-    bands: list[tuple[str, int, float | None, float | None, int]] = []  # column, rank, low, high, rows below
-    large = []
-    for name, wanted in ranks.items():
-        for r in sorted(set(wanted)):
-            if counts[name] <= band_limit:
-                bands.append((name, r, None, None, 0))
-            else:
-                large.append((name, r))
-    if large:
-        bands += _narrow(df, large, counts, band_limit, found)
-    if bands:
-        found.update(_rank_in_bands(df, bands))
+    values = {n: min(counts[n], (distinct or counts)[n]) for n in ranks}
+    spans = [Span(n, -math.inf, math.inf, 0, counts[n], values[n], sorted(set(rs))) for n, rs in ranks.items() if rs]
+    for _ in range(ROUNDS):
+        large = [s for s in spans if s.values > band_limit]
+        if not large:
+            break
+        spans = [s for s in spans if s.values <= band_limit] + _cut(df, large, found)
+    if spans:
+        found.update(_rank(df, spans))
     return found
 
 
-def _narrow(df, large, counts, band_limit, found):
+def _cut(df: DataFrame, large: list[Span], found: dict) -> list[Span]:
+    """Smaller spans that hold the ranks of the large ones; ranks that fall on a bound are found."""
     slack = 2.0 / SKETCH_ACCURACY
-    edges: dict[str, list[float]] = {}
-    for name, r in large:
-        p = r / (counts[name] - 1)
-        edges.setdefault(name, []).extend([max(0.0, p - slack), min(1.0, p + slack)])
-    sketch = df.agg(
-        *[
-            F.percentile_approx(F.col(n).cast("double"), F.array(*[F.lit(e) for e in es]), SKETCH_ACCURACY).alias(n)
-            for n, es in edges.items()
-        ]
-    ).first()
-    place = {n: 0 for n in edges}
-    proposed = []
-    for name, r in large:
-        k = place[name]
-        place[name] += 2
-        proposed.append((name, r, sketch[name][k], sketch[name][k + 1]))
-    proof = df.agg(
-        *[
-            agg
-            for i, (name, _, lo, hi) in enumerate(proposed)
-            for agg in (
-                F.count_if(F.col(name) < F.lit(lo)).alias(f"b{i}"),
-                F.count_if(F.col(name) <= F.lit(hi)).alias(f"t{i}"),
-            )
-        ]
-    ).first()
-    bands = []
-    for i, (name, r, lo, hi) in enumerate(proposed):
-        below, through = proof[f"b{i}"], proof[f"t{i}"]
-        low, high = lo, hi
-        if r < below:
-            low, below = None, 0
-        if r >= through:
-            high, through = None, counts[name]
-        inside = through - below
-        if low is not None and low == high:
-            found[(name, r)] = float(low)
-        elif inside <= band_limit or inside >= counts[name]:
-            bands.append((name, r, low, high, below))
-        else:
-            part = df.where(_between(F.col(name), low, high)).select(name)
-            value = order_statistics(part, {name: [r - below]}, {name: inside}, band_limit)
-            found[(name, r)] = value[(name, r - below)]
-    return bands
-
-
-def _between(c: Column, low, high) -> Column:
-    cond = c.isNotNull()
-    if low is not None:
-        cond = cond & (c >= F.lit(low))
-    if high is not None:
-        cond = cond & (c <= F.lit(high))
-    return cond
-
-
-def _rank_in_bands(df: DataFrame, bands) -> dict[tuple[str, int], float]:
-    spans = sorted({(n, lo, hi, below) for n, _, lo, hi, below in bands}, key=str)
-    number = {s: i for i, s in enumerate(spans)}
-    wanted: dict[int, list[int]] = {}
-    for n, r, lo, hi, below in bands:
-        wanted.setdefault(number[(n, lo, hi, below)], []).append(r)
-    values = F.filter(
-        F.array(
-            *[
-                F.struct(F.lit(i).alias("s"), F.when(_between(F.col(n), lo, hi), F.col(n).cast("double")).alias("x"))
-                for i, (n, lo, hi, _) in enumerate(spans)
-            ]
-        ),
-        lambda e: e["x"].isNotNull(),
-    )
-    tallies = df.select(F.explode(values).alias("e")).groupBy("e.s", "e.x").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("s").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    through = F.sum("n").over(w)
-    below_of = F.create_map(*[v for i, sp in enumerate(spans) for v in (F.lit(i), F.lit(sp[3]))])
-    ranks_of = F.create_map(
-        *[v for i in wanted for v in (F.lit(i), F.array(*[F.lit(r).cast("long") for r in wanted[i]]))]
-    )
-    placed = tallies.select("s", "x", "n", (through + below_of[F.col("s")]).alias("through"))
-    hits = placed.select(
-        "s",
-        "x",
-        F.explode(
-            F.filter(
-                ranks_of[F.col("s")],
-                lambda r: (r < F.col("through")) & (r >= F.col("through") - F.col("n")),
-            )
-        ).alias("r"),
+
+    def inside(s: Span):
+        x = F.col(s.name).cast("double")
+        return F.when((x >= s.low) & (x < s.high) & ~F.isnan(x), x)
+
+    def shares(s: Span) -> list[float]:
+        at = [(r - s.below) / (s.rows - 1) for r in s.ranks]
+        return sorted({min(1.0, max(0.0, p + d)) for p in at for d in (-slack, slack)})
+
+    sketch = df.agg(*[
+        F.percentile_approx(inside(s), F.array(*map(F.lit, shares(s))), SKETCH_ACCURACY).alias(f"s{i}")
+        for i, s in enumerate(large)
+    ]).first()
+    cuts: dict[str, set[float]] = {}
+    for i, s in enumerate(large):
+        # a bound and its successor enclose exactly the rows equal to the bound
+        bounds = {b for v in sketch[f"s{i}"] for b in (v, math.nextafter(v, math.inf))}
+        cuts.setdefault(s.name, set()).update(bounds | {b for b in (s.low, s.high) if math.isfinite(b)})
+    ordered = {n: sorted(c) for n, c in cuts.items()}
+    names = list(ordered)
+    tally = {
+        (names[r["i"]], r["cell"]): r["n"]
+        for r in cells(df, ordered).where(F.col("x").isNotNull()).groupBy("i", "cell").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    out = []
+    for n in names:
+        edges = [-math.inf, *ordered[n], math.inf]
+        wanted = sorted(r for s in large if s.name == n for r in s.ranks)
+        below = 0
+        for k in range(len(edges) - 1):
+            rows = tally.get((n, k), 0)
+            here = [r for r in wanted if below <= r < below + rows]
+            if here and edges[k + 1] == math.nextafter(edges[k], math.inf):
+                found.update({(n, r): edges[k] for r in here})
+            elif here:
+                out.append(Span(n, edges[k], edges[k + 1], below, rows, rows, here))
+            below += rows
+    return out
+
+
+def _rank(df: DataFrame, spans: list[Span]) -> dict[tuple[str, int], float]:
+    """Values at the wanted ranks of small spans.
+
+    The spans are laid end to end, so that one sorted list of positions holds every wanted rank and a
+    row that covers one is recognised by binary search rather than by meeting all ranks of its span.
+    """
+    cuts: dict[str, list[float]] = {}
+    for s in spans:
+        cuts.setdefault(s.name, []).extend(b for b in (s.low, s.high) if math.isfinite(b))
+    cuts = {n: sorted(set(c)) for n, c in cuts.items()}
+    names = list(cuts)
+    starts, at, places = [], 0, {}
+    for s in spans:
+        cell = cuts[s.name].index(s.low) + 1 if math.isfinite(s.low) else 0
+        starts.append((names.index(s.name), cell, at))
+        places |= {at + r - s.below: (s.name, r) for r in s.ranks}
+        at += s.rows
+    wanted = sorted(places)
+    placed = df.sparkSession.createDataFrame(starts, "i int, cell int, start long").coalesce(1)
+    tallies = (
+        cells(df, cuts).where(F.col("x").isNotNull()).join(F.broadcast(placed), ["i", "cell"])
+        .groupBy("start", "x").agg(F.count(F.lit(1)).alias("n"))
     )
-    return {(spans[h["s"]][0], h["r"]): h["x"] for h in hits.collect()}
+    w = Window.partitionBy("start").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    through = (F.col("start") + F.sum("n").over(w)).cast("double")
+    ranked = tallies.select("x", through.alias("to"), (through - F.col("n")).alias("from"))
+    ends = Bucketizer(
+        splitsArray=[[-math.inf, *map(float, wanted), math.inf]] * 2,
+        inputCols=["to_last", "from_last"], outputCols=["to_cell", "from_cell"],
+    ).transform(ranked.select("x", "to", "from", (F.col("to") - 1).alias("to_last"), (F.col("from") - 1).alias("from_last")))
+    out = {}
+    for h in ends.where(F.col("to_cell") > F.col("from_cell")).select("x", "to", "from").collect():
+        first, last = bisect_left(wanted, h["from"]), bisect_left(wanted, h["to"])
+        out.update({places[p]: h["x"] for p in wanted[first:last]})
+    return out
 
 
 def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    how: str = "linear",
-    band_limit: int = BAND_LIMIT,
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], how: str = "linear", band_limit: int = BAND_LIMIT
 ) -> dict[str, list[float | None]]:
-    """Quantiles of each column, nulls ignored.
+    """Quantiles of each column, missing values left out.
 
     ``linear`` interpolates between neighbours; ``higher_tail`` gives the largest value that is left
     when the int((1-p)*n) largest values are set aside.
     """
-    sizes = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
-    need: dict[str, list[int]] = {}
-    for c in cols:
-        n = sizes[c]
-        if n == 0:
-            continue
-        for p in probs:
-            if how == "linear":
-                at = p * (n - 1)
-                need.setdefault(c, []).extend([math.floor(at), math.ceil(at)])
-            elif how == "higher_tail":
-                need.setdefault(c, []).append(n - 1 - tail_size(n, 1 - p))
-            else:
-                raise ValueError(f"unknown quantile rule {how!r}")
-    at_rank = order_statistics(df.select(*cols), need, sizes, band_limit) if need else {}
-    out: dict[str, list[float | None]] = {}
-    for c in cols:
-        n = sizes[c]
-        row: list[float | None] = []
-        for p in probs:
-            if n == 0:
-                row.append(None)
-            elif how == "linear":
-                at = p * (n - 1)
-                lo, hi = at_rank[(c, math.floor(at))], at_rank[(c, math.ceil(at))]
-                row.append(lo + (hi - lo) * (at - math.floor(at)))
-            else:
-                row.append(at_rank[(c, n - 1 - tail_size(n, 1 - p))])
-        out[c] = row
-    return out
+    if how not in ("linear", "higher_tail"):
+        raise ValueError(f"unknown quantile rule {how!r}")
+    numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
+    # the distinct estimate is within a few percent; the margin keeps it an upper bound in practice,
+    # and a wrong one only changes how many rows are ranked together
+    seen = numbers.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+        *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)],
+    ).first()
+    sizes = {c: seen[f"n{i}"] for i, c in enumerate(cols)}
+    distinct = {c: 1 + seen[f"d{i}"] * 5 // 4 for i, c in enumerate(cols)}
+
+    def ranks(n: int, p: float) -> tuple[int, int, float]:
+        if how == "higher_tail":
+            r = n - 1 - tail_size(n, 1 - p)
+            return r, r, 0.0
+        at = p * (n - 1)
+        return math.floor(at), math.ceil(at), at - math.floor(at)
+
+    need = {c: [r for p in probs for r in ranks(sizes[c], p)[:2]] for c in cols if sizes[c]}
+    at = order_statistics(numbers, need, sizes, band_limit, distinct) if need else {}
+
+    def value(c: str, p: float) -> float | None:
+        if not sizes[c]:
+            return None
+        lo, hi, part = ranks(sizes[c], p)
+        return at[(c, lo)] + (at[(c, hi)] - at[(c, lo)]) * part
+
+    return {c: [value(c, p) for p in probs] for c in cols}
 
 
 def tail_size(n: int, share: float) -> int:

@@ -51,13 +51,17 @@ def year_range(df: DataFrame, col: str, start: int, end: int) -> DataFrame:
 
 
 def semi(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
-    """Rows with a partner in the other table (IN and EXISTS); partners do not multiply rows."""
-    return df.join(other, _equal(on), "left_semi")
+    """Rows with a partner in the other table (IN and EXISTS); partners do not multiply rows.
+
+    The partners' keys are made distinct first, so a key that fills a third of the other table
+    crosses the shuffle once per map task.
+    """
+    return df.join(other.select(*on.values()).distinct(), _equal(on), "left_semi")
 
 
 def drop_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key is not listed."""
-    return df.join(keys.select(on), on, "left_anti")
+    return df.join(keys.select(on).distinct(), on, "left_anti")
 
 
 def less_than_any(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFrame:

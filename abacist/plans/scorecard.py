@@ -50,8 +50,8 @@ def run_scorecard(
     rejects = fill_zero(rejects)
     split = materialise(stratified_split(accepts, id_col, y, [0, 1], SHARES, seed))
     train = split.where(F.col("split") == "train")
-    bins = materialise(credit.bin_all(train, y, xs))
     mono, chars = credit.split_kinds(train, xs)
+    bins = materialise(credit.bin_all(train, y, xs, (mono, chars)))
     rows = _woe_features(train, bins, mono, chars, [id_col, y]).withColumnRenamed(y, "label")
     fit_rows = rows.select(F.col("label").cast("double").alias("label"), "features")
     if oversample is not None:
@@ -72,8 +72,8 @@ def run_scorecard(
 
     accepted = [split.where(F.col("split") == part) for part in ("train", "valid")]
     both = materialise(accepted[0].select(y, *xs).unionByName(accepted[1].select(y, *xs)).unionByName(labelled.select(y, *xs)))
-    final_bins = materialise(credit.bin_all(both, y, xs))
     mono, chars = credit.split_kinds(both, xs)
+    final_bins = materialise(credit.bin_all(both, y, xs, (mono, chars)))
     final = est.fit(
         _woe_features(both, final_bins, mono, chars, [y]).select(F.col(y).cast("double").alias("label"), "features")
     )

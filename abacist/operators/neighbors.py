@@ -157,30 +157,34 @@ def smote(
     minority neighbours. Rows take part equally often; the remainder goes to the rows with the
     smallest draws. Returns the synthetic rows: label and features.
     """
-    rare = materialise(df.where(F.col(label) == F.lit(minority)).select(id_col, label, features))
+    rare = materialise(
+        df.where(F.col(label) == F.lit(minority)).select(
+            F.col(id_col).alias("__id"), F.col(label).alias("__label"), F.col(features).alias("__from")
+        )
+    )
     sizes = df.agg(
         F.count_if(F.col(label) == F.lit(minority)).alias("few"), F.count_if(F.col(label) != F.lit(minority)).alias("many")
     ).first()
     few, wanted = sizes["few"], max(0, round(ratio * sizes["many"]) - sizes["few"])
     base, extra = divmod(wanted, few)
-    draw = hash_number(id_col, seed)
+    draw = hash_number("__id", seed)
     copies = F.lit(base)
     if extra:
         draws = rare.select(draw.alias("d"))
         cut = order_statistics(draws, {"d": [extra - 1]}, {"d": few})[("d", extra - 1)]
         copies = F.lit(base) + (draw <= F.lit(int(cut))).cast("int")
-    near = nearest(rare, rare, features, id_col, k, exclude_self=True, **how)
-    pool = near.groupBy("id").agg(F.sort_array(F.collect_list("neighbour")).alias("pool"))
-    made = rare.join(pool, F.col(id_col) == F.col("id")).where(copies > 0).withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), copies))
+    near = nearest(rare, rare, "__from", "__id", k, exclude_self=True, **how)
+    pool = near.groupBy(F.col("id").alias("__id")).agg(F.sort_array(F.collect_list("neighbour")).alias("__pool"))
+    made = rare.join(pool, "__id").withColumn("__copies", copies).where(F.col("__copies") > 0).withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))
     )
-    made = made.withColumn("__key", F.concat_ws("-", F.col(id_col).cast("string"), "__copy"))
-    pick = F.pmod(hash_number("__key", f"{seed}n"), F.size("pool").cast("long"))
-    made = made.withColumn("__to", F.get("pool", pick.cast("int"))).withColumn(
+    made = made.withColumn("__key", F.concat_ws("-", F.col("__id").cast("string"), "__copy"))
+    pick = F.pmod(hash_number("__key", f"{seed}n"), F.size("__pool").cast("long"))
+    made = made.withColumn("__to", F.get("__pool", pick.cast("int"))).withColumn(
         "__u", hash_number("__key", f"{seed}u") / F.lit(float(HASH_RANGE))
     )
-    ends = rare.select(F.col(id_col).alias("__to"), F.col(features).alias("__end"))
+    ends = rare.select(F.col("__id").alias("__to"), F.col("__from").alias("__end"))
     return made.join(ends, "__to").select(
-        F.col(label),
-        F.zip_with(features, "__end", lambda a, b: a + F.col("__u") * (b - a)).alias(features),
+        F.col("__label").alias(label),
+        F.zip_with("__from", "__end", lambda a, b: a + F.col("__u") * (b - a)).alias(features),
     )

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from abacist.operators.cells import cells
 
-BAND_LIMIT = 1_000_000
+BAND_LIMIT = 250_000
 """Distinct values of one interval that a single task may rank."""
 
 SKETCH_ACCURACY = 10_000

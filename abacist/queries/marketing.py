@@ -14,6 +14,7 @@ from abacist.queries.registry import load, query, sum_sql
 from abacist.session import shared_dir
 from abacist.sources import nested, tables
 from abacist.sources.reload import reload_window
+from abacist.streaming.reload import follow
 
 
 def _rule_sql(rules, columns):
@@ -230,10 +231,14 @@ _CHANNEL_SQL = """CASE WHEN starts_with(trackingcode, 'ban_') THEN 'display'
 
 
 def _web_rows(spark, sf):
+    return _web_columns(load(spark, sf, "events"))
+
+
+def _web_columns(events):
     head = F.when(F.col("event_type") == "click", "ban_").when(F.col("event_type") == "view", "SM_").when(
         F.col("event_type") == "signup", "ps_").when(F.col("event_type") == "purchase", "banX").otherwise("x")
     k = F.get_json_object("props", "$.k").cast("long")
-    return load(spark, sf, "events").select(
+    return events.select(
         F.to_date("ts").alias("date"),
         F.when(F.hour("ts") < 12, "de").otherwise("DE").alias("country"),
         F.concat(head, F.col("user_id").cast("string")).alias("trackingcode"),
@@ -284,6 +289,23 @@ def web_warehouse_load(spark, sf):
     return spark.table(warehouse)
 
 
+@query(
+    "stream_reload",
+    f"""SELECT date, UPPER(country) AS country, trackingcode, {_WEB_SUMS}, {_WEB_MEASURES}, {_CHANNEL_SQL} AS channel_type
+    FROM (SELECT DISTINCT * FROM ({_WEB_SQL})) w GROUP BY date, w.country, trackingcode""",
+)
+def stream_reload(spark, sf):
+    """The events' web rows followed as a stream of files, then followed again with nothing new."""
+    run = uuid.uuid4().hex
+    root = shared_dir(spark)
+    schema = load(spark, sf, "events").schema
+    arriving = spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")
+    names = [f"stream_{kind}_{run}" for kind in ("staging", "warehouse")]
+    for _ in range(2):
+        follow(spark, _web_columns(arriving), *names, f"{root}/stream_{run}", [f"{root}/{n}" for n in names])
+    return spark.table(names[1])
+
+
 def _spelled(iso):
     return ("upper" if iso.isupper() else "lower") + iso.lower()
 

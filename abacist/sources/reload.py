@@ -34,6 +34,18 @@ def _dynamic_overwrite(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+def replace_partitions(rows: DataFrame, target: str) -> None:
+    """Replace the partitions that the rows belong to; the rows are in the target's column order.
+
+    Rebalancing gathers each partition's rows into few files and splits a partition that is too large
+    for one task.
+    """
+    spark = rows.sparkSession
+    part_cols = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    with _dynamic_overwrite(spark):
+        conform(rows, spark.table(target).schema).hint("rebalance", *part_cols).write.insertInto(target, overwrite=True)
+
+
 def reload_window(
     source: DataFrame,
     target: str,
@@ -61,10 +73,7 @@ def reload_window(
     part_cols = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
     first, last = window_of(as_of, days)
 
-    # Rebalancing gathers each partition's rows into few files and splits a partition that is too
-    # large for one task.
-    with _dynamic_overwrite(spark):
-        rows.hint("rebalance", *part_cols).write.insertInto(target, overwrite=True)
+    replace_partitions(rows, target)
 
     filled = {
         tuple(str(v) for v in r)

@@ -123,11 +123,14 @@ def char_bins(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
 
 
 def woe_iv(bins: DataFrame) -> DataFrame:
-    """Rates, shares, weight of evidence and information value; a bin of one kind only counts 0."""
+    """Rates, shares, weight of evidence and information value; a bin of one kind only counts 0.
+
+    The bins are written first, so that the totals joined back do not count the rows again.
+    """
+    bins = materialise(bins)
     totals = bins.groupBy("var").agg(
         F.sum("event").alias("__e"), F.sum(F.col("count") - F.col("event")).alias("__ne")
     )
-    # both kinds of column keep doubles: a column without events divides to null, never raises
     shares = bins.join(totals, "var").withColumn("nonevent", F.col("count") - F.col("event")).withColumns({
         "event_rate": F.col("event") / F.col("count"),
         "non_event_rate": F.col("nonevent") / F.col("count"),
@@ -164,11 +167,11 @@ def split_kinds(df: DataFrame, xs: Sequence[str]) -> tuple[list[str], list[str]]
 def bin_all(
     df: DataFrame, y: str, xs: Sequence[str], kinds: tuple[Sequence[str], Sequence[str]] | None = None
 ) -> DataFrame:
-    """Bins with weight of evidence and information value of every column."""
+    """Bins with weight of evidence and information value of every column, as a written table."""
     mono, chars = kinds or split_kinds(df, xs)
     sets = ([mono_bins(df, y, mono)] if mono else []) + ([char_bins(df, y, chars)] if chars else [])
     bins = sets[0] if len(sets) == 1 else sets[0].unionByName(sets[1])
-    return woe_iv(bins)
+    return materialise(woe_iv(bins))
 
 
 def iv_table(bins: DataFrame) -> DataFrame:
@@ -229,7 +232,7 @@ def refit_with_rejects(
         rows = part if rows is None else rows.unionByName(part)
     rows = materialise(rows)
     mono, chars = split_kinds(rows, xs)
-    bins = materialise(bin_all(rows, y, xs, (mono, chars)))
+    bins = bin_all(rows, y, xs, (mono, chars))
     return bins, fit(woe_transform(rows, bins, mono, chars))
 
 

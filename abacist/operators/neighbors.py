@@ -15,22 +15,24 @@ from abacist.operators.sampling import HASH_RANGE, hash_number
 from abacist.session import materialise
 
 BLOCK_ROWS = 2048
-PIVOTS = 32
+MOST_PIVOTS = 256
+"""Pivots are kept on the driver and compared with every row."""
 
 
 def nearest(
     queries: DataFrame, points: DataFrame, features: str, id_col: str, k: int,
-    exclude_self: bool = False, pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS, seed: int = 7,
+    exclude_self: bool = False, pivots: int | None = None, block_rows: int = BLOCK_ROWS, seed: int = 7,
 ) -> DataFrame:
     """The ``k`` nearest points of every query: ``id, neighbour, distance, rank`` (ties by point id).
 
-    Points and queries are assigned to the nearest of a few pivots and cut into blocks of bounded
-    size, so a crowded cell only makes more blocks. A block of points is compared with a block of
+    Points and queries are assigned to the nearest of a few pivots (by default one per block, up to a
+    limit) and cut into blocks of bounded size, so a crowded cell only makes more blocks. A block of points is compared with a block of
     queries unless the triangle inequality proves that it cannot hold one of their nearest. Each
     comparison is one matrix product in one task and returns at most ``k`` rows per query.
     """
     points = points.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"))
     queries = queries.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"))
+    pivots = pivots or min(MOST_PIVOTS, 1 + points.count() // block_rows)
     chosen = points.orderBy(hash_number("id", seed)).limit(pivots).collect()
     if not chosen:
         raise ValueError("no points to search")

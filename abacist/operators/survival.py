@@ -116,8 +116,9 @@ def cox_tv(
 
     A row is at risk after its start and up to its stop. Each Newton step is one distributed job:
     rows are reduced to sums per distinct time, risk-set sums follow by running from the last time
-    backwards, and only the gradient and the information matrix reach the driver. Covariates are
-    centred on their means, which leaves the coefficients as they are and keeps the exponentials small.
+    backwards, and only the gradient and the information matrix reach the driver. The rows are written
+    once, spread evenly over the cores, with covariates centred on their means; that leaves the
+    coefficients as they are and keeps the exponentials small.
     """
     p = len(covariates)
     means = df.agg(*[F.avg(c).alias(c) for c in covariates]).first()
@@ -127,7 +128,7 @@ def cox_tv(
             F.col(stop).cast("double").alias("__stop"),
             F.col(event).cast("int").alias("__event"),
             *[(F.col(c).cast("double") - F.lit(means[c])).alias(f"x{i}") for i, c in enumerate(covariates)],
-        )
+        ).repartition(df.sparkSession.sparkContext.defaultParallelism)
     )
     beta = np.zeros(p)
     previous = -math.inf

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abacist.operators import credit, models
+from abacist.operators.neighbors import smote
 from abacist.operators.prep import fill_zero
 from abacist.operators.sampling import stratified_split
 from abacist.session import materialise
@@ -51,32 +53,28 @@ def run_scorecard(
     split = materialise(stratified_split(accepts, id_col, y, [0, 1], SHARES, seed))
     train = split.where(F.col("split") == "train")
     mono, chars = credit.split_kinds(train, xs)
-    bins = materialise(credit.bin_all(train, y, xs, (mono, chars)))
+    bins = credit.bin_all(train, y, xs, (mono, chars))
     rows = _woe_features(train, bins, mono, chars, [id_col, y]).withColumnRenamed(y, "label")
     fit_rows = rows.select(F.col("label").cast("double").alias("label"), "features")
     if oversample is not None:
-        from pyspark.ml.functions import array_to_vector, vector_to_array
-
-        from abacist.operators.neighbors import smote
-
         arrays = rows.withColumn("features", vector_to_array("features"))
         extra = smote(arrays, "features", "label", id_col, minority=1, **oversample)
         fit_rows = fit_rows.unionByName(
             extra.select(F.col("label").cast("double").alias("label"), array_to_vector("features").alias("features"))
         )
-    first = est.fit(fit_rows)
+    first = models.fit(est, fit_rows)
 
     reject_scored = models.score(first, _woe_features(rejects, bins, mono, chars, [id_col]), name="prob_default")
-    labels = credit.infer_rejects(reject_scored.select(id_col, "prob_default"), "prob_default", accept, y, pooled)
+    reject_scored = materialise(reject_scored.select(id_col, "prob_default"))
+    labels = credit.infer_rejects(reject_scored, "prob_default", accept, y, pooled)
     labelled = rejects.join(labels.select(id_col, y), id_col)
 
     accepted = [split.where(F.col("split") == part) for part in ("train", "valid")]
     both = materialise(accepted[0].select(y, *xs).unionByName(accepted[1].select(y, *xs)).unionByName(labelled.select(y, *xs)))
     mono, chars = credit.split_kinds(both, xs)
-    final_bins = materialise(credit.bin_all(both, y, xs, (mono, chars)))
-    final = est.fit(
-        _woe_features(both, final_bins, mono, chars, [y]).select(F.col(y).cast("double").alias("label"), "features")
-    )
+    final_bins = credit.bin_all(both, y, xs, (mono, chars))
+    final_rows = _woe_features(both, final_bins, mono, chars, [y]).withColumn("label", F.col(y).cast("double"))
+    final = models.fit(est, final_rows)
     coefs = models.coefficients(final, [*mono, *chars], accepts.sparkSession)
     card = credit.scorecard(final_bins, coefs, float(final.intercept), len(mono) + len(chars))
     test = split.where(F.col("split") == "test")

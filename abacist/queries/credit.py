@@ -149,6 +149,6 @@ def refit_rejects(spark, sf):
     names = ["new_" + x for x in [*mono, *chars]]
     _, model = C.refit_with_rejects(
         [accepted], rejected, "defaulted", APPLICANT_COLUMNS,
-        lambda woe: M.logistic().fit(M.features_of(woe, names, "defaulted")),
+        lambda woe: M.fit(M.logistic(), M.features_of(woe, names, "defaulted")),
     )
     return M.coefficients(model, names, spark)

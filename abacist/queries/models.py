@@ -12,6 +12,7 @@ from abacist.operators import neighbors as N
 from abacist.operators import prep as D
 from abacist.operators.sampling import hash_split
 from abacist.queries.registry import load, query
+from abacist.session import materialise
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
@@ -24,17 +25,21 @@ def _rows(spark, sf):
     )
 
 
+def _parts(spark, sf):
+    """Training and test rows; the draw per row is made once and the rows lie evenly over the cores."""
+    rows = _rows(spark, sf).repartition(spark.sparkContext.defaultParallelism)
+    parts = materialise(hash_split(rows, "l_orderkey", {"train": 0.7, "test": 0.3}, 123))
+    return [parts.where(F.col("split") == p) for p in ("train", "test")]
+
+
 def _split(spark, sf):
-    parts = hash_split(_rows(spark, sf), "l_orderkey", {"train": 0.7, "test": 0.3}, 123)
-    return [
-        M.features_of(parts.where(F.col("split") == p), FEATURES, "target", keep=["l_orderkey"]) for p in ("train", "test")
-    ]
+    return [M.features_of(p, FEATURES, "target", keep=["l_orderkey"]) for p in _parts(spark, sf)]
 
 
 def _metrics(est, spark, sf):
     """Areas under the curves of the fitted model on the test rows, from probabilities."""
     train, test = _split(spark, sf)
-    scored = M.score(est.fit(train), test).withColumn("label", F.col("label").cast("int"))
+    scored = M.score(M.fit(est, train), test).withColumn("label", F.col("label").cast("int"))
     return E.auc(scored, "prob", "label", digits=4)
 
 
@@ -67,12 +72,10 @@ def model_svm(spark, sf):
 @query("model_mlp")
 def model_mlp(spark, sf):
     """Two hidden layers of sixteen nodes on standardised features."""
-    parts = hash_split(_rows(spark, sf), "l_orderkey", {"train": 0.7, "test": 0.3}, 123)
-    train, test = D.scale_features(
-        parts.where(F.col("split") == "train"), [parts.where(F.col("split") == "test")], FEATURES, "standard"
-    )
+    train, test = _parts(spark, sf)
+    train, test = D.scale_features(train, [test], FEATURES, "standard")
     label = F.col("target").cast("double").alias("label")
-    model = M.mlp([5, 16, 16, 2], maxIter=30).fit(train.select(label, "features"))
+    model = M.fit(M.mlp([5, 16, 16, 2], maxIter=30), train.select(label, "features"))
     scored = M.score(model, test.select(label, "features")).withColumn("label", F.col("label").cast("int"))
     return E.auc(scored, "prob", "label", digits=4)
 
@@ -107,7 +110,7 @@ def model_formula(spark, sf):
     train, test = M.by_formula(
         "target ~ . - o_orderkey - split", parts.where(F.col("split") == "train"), parts.where(F.col("split") == "test")
     )
-    model = M.logistic().fit(train.select("label", "features"))
+    model = M.fit(M.logistic(), train)
     return M.coefficients(model, M.feature_names(train), spark)
 
 
@@ -118,17 +121,15 @@ def model_pipeline(spark, sf):
         "l_quantity", "l_discount", "l_linestatus", "l_returnflag"
     )
     prepared = M.assemble(["l_quantity", "l_discount"], "l_returnflag", ["l_linestatus"]).fit(items).transform(items)
-    model = M.tree().fit(prepared.select("label", "features"))
+    model = M.fit(M.tree(), prepared)
     return model.transform(prepared).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("model_scaled")
 def model_scaled(spark, sf):
     """Min-max scaling fitted on the training rows; range of the first slot in both parts."""
-    parts = hash_split(_rows(spark, sf), "l_orderkey", {"train": 0.7, "test": 0.3}, 123)
-    train, test = D.scale_features(
-        parts.where(F.col("split") == "train"), [parts.where(F.col("split") == "test")], FEATURES, "minmax"
-    )
+    train, test = _parts(spark, sf)
+    train, test = D.scale_features(train, [test], FEATURES, "minmax")
     both = train.unionByName(test).select("split", vector_to_array("features")[0].alias("x"))
     return both.groupBy("split").agg(F.min("x").alias("low"), F.max("x").alias("high"))
 
@@ -156,10 +157,8 @@ def model_zoo(spark, sf):
 @query("stepwise")
 def stepwise(spark, sf):
     """Forward selection over the five columns."""
-    parts = hash_split(_rows(spark, sf), "l_orderkey", {"train": 0.7, "test": 0.3}, 123)
-    return M.stepwise(
-        parts.where(F.col("split") == "train"), parts.where(F.col("split") == "test"), FEATURES, "target", M.logistic()
-    )
+    train, test = _parts(spark, sf)
+    return M.stepwise(train, test, FEATURES, "target", M.logistic())
 
 
 @query("next_best")
@@ -179,14 +178,14 @@ def select_by_corr(spark, sf):
 @query("feature_importance")
 def feature_importance(spark, sf):
     train, _ = _split(spark, sf)
-    return M.importance(M.tree().fit(train), train)
+    return M.importance(M.fit(M.tree(), train), train)
 
 
 @query("batch_scores")
 def batch_scores(spark, sf):
     """Probability and class of every test row."""
     train, test = _split(spark, sf)
-    return M.score(M.logistic().fit(train), test).select("l_orderkey", "prob", "predicted")
+    return M.score(M.fit(M.logistic(), train), test).select("l_orderkey", "prob", "predicted")
 
 
 def _vectors(spark, sf):

@@ -11,6 +11,7 @@ from abacist.operators import evaluate as E
 from abacist.operators import prep as D
 from abacist.operators import sampling as K
 from abacist.operators.timeseries import period
+from abacist.plans.churn_steps import derived_columns, run_churn_steps
 from abacist.plans.donor_basetable import donor_basetable, gift_table
 from abacist.plans.driver_basetable import driver_basetable
 from abacist.queries.registry import load, mean_sql, query, sum_sql
@@ -334,3 +335,41 @@ def interaction(spark, sf):
     return load(spark, sf, "part").select(
         "p_partkey", D.interact("p_size", "p_retailprice").alias("size_price"), F.round(F.ln("p_retailprice"), 9).alias("log_price")
     )
+
+
+def _churn(spark, sf):
+    """Customers as subscribers: churn by balance, age by nation, length of service missing for one segment."""
+    c = load(spark, sf, "customer")
+    return c.select(
+        F.col("c_custkey").alias("cust_id"),
+        (F.col("c_acctbal") < 0).cast("int").alias("churn"),
+        F.col("c_acctbal").alias("mon_purch"),
+        F.col("c_nationkey").alias("freq_purch"),
+        (F.col("c_nationkey") + 20).alias("age"),
+        F.when(F.col("c_mktsegment") != "MACHINERY", F.abs("c_acctbal") / 20).alias("LOS"),
+        (F.col("c_acctbal") / 1000).alias("rec_complaints"),
+        (F.col("c_mktsegment") == "FURNITURE").cast("int").alias("d_age_missing"),
+        F.length("c_mktsegment").alias("d_gender"),
+    )
+
+
+@query(
+    "churn_steps",
+    """SELECT c_custkey AS cust_id, c_acctbal * 1.15::DOUBLE AS mon_purch_dol, c_acctbal / NULLIF(c_nationkey, 0) AS avg_mon_purch,
+    DATE '2011-01-24' AS snapshot_date, CAST(c_custkey AS VARCHAR) || CAST(c_acctbal < 0 AS INTEGER) AS cust_id2,
+    CAST(c_nationkey + 20 + 10 AS BIGINT) AS age2, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'regular' WHEN abs(c_acctbal) / 20 >= 100 THEN 'loyal'
+    ELSE 'regular' END AS "LOS2", '24JAN2011' AS snapshot_text FROM customer""",
+)
+def churn_derived(spark, sf):
+    """Derived columns as of ten years after the snapshot."""
+    out = derived_columns(_churn(spark, sf), date(2021, 1, 24))
+    return out.select("cust_id", "mon_purch_dol", "avg_mon_purch", "snapshot_date", "cust_id2", "age2", "LOS2", "snapshot_text")
+
+
+@query(
+    "churn_totals",
+    """SELECT c_custkey AS cust_id, CAST(SUM(c_nationkey) OVER (ORDER BY c_custkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tot_freq_purch FROM customer""",
+)
+def churn_totals(spark, sf):
+    """Running total over all customers in key order."""
+    return run_churn_steps(_churn(spark, sf), date(2021, 1, 24))["total_sum"].select("cust_id", "tot_freq_purch")

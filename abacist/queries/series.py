@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from abacist.operators import ordered as W
 from abacist.operators import timeseries as T
+from abacist.plans.stock_study import run_stock_study
 from abacist.queries.registry import load, mean_sql, query
 
 SERIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -94,3 +95,9 @@ def ma_forecast(spark, sf):
 def forecast_rmse(spark, sf):
     forecast = T.ma_forecast(_daily(spark, sf), "series", ["date"], "close", N_TRAIN)
     return T.rmse(forecast, "series", "close", "forecast").withColumn("rmse", F.round("rmse", 4))
+
+
+@query("stock_study")
+def stock_study(spark, sf):
+    """Forecast errors of the interpolated series, from the whole study."""
+    return run_stock_study(_holed(spark, sf), "series", "date", "close", SERIES, N_TRAIN)["errors"]

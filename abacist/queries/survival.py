@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from abacist.operators import survival as S
-from abacist.plans.survival_study import static_loans
+from abacist.plans.survival_study import run_survival, static_loans
 from abacist.queries.registry import load, query
 
 END = "2001-08-02"
@@ -117,3 +117,14 @@ def cox_tv(spark, sf):
         "account",
     )
     return S.cox_tv(rows, "start", "stop", "event", ["price", "urgent", "account"])
+
+
+@query(
+    "survival_study",
+    f"""WITH {LOANS_SQL}, km AS ({_km(_TABLE)}) SELECT t AS time, arg_max(survival, time) AS survival
+    FROM km, (VALUES (25), (50)) v(t) WHERE time <= t GROUP BY t""",
+)
+def survival_study(spark, sf):
+    """Survival at weeks 25 and 50 from the whole study."""
+    study = run_survival(_loans(spark, sf), "time", "event", "grp", 1, [25, 50], "balance")
+    return study["survival_at"].withColumn("survival", F.round("survival", 9))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abacist.functions.scalars import any_match, exact_mean, exact_sum, safe_divide
-from abacist.operators.ordered import null_safe_join
+from abacist.operators.ordered import attach
 from abacist.operators.quantiles import exact_quantiles, group_quantiles
 
 
@@ -37,11 +37,10 @@ def conditional_sums(df: DataFrame, by: Sequence[str], rules: Sequence[ActionRul
 def apportion(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Share each measure evenly over the rows of its key group.
 
-    The group size comes from a small aggregate joined back rather than a window, so a key group of
-    any size is counted with partial sums and split by the adaptive skew join.
+    The group size comes from an aggregate joined back rather than a window, so a key group of any
+    size is counted with partial sums.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    joined = null_safe_join(df, sizes, keys, "inner")
+    joined = group_rows(df, keys, "__rows")
     return joined.select(
         *[safe_divide(F.col(c), F.col("__rows")).alias(c) if c in measures else F.col(c) for c in df.columns]
     )
@@ -50,20 +49,20 @@ def apportion(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> Da
 def group_rows(df: DataFrame, keys: Sequence[str], name: str = "group_rows") -> DataFrame:
     """Row count of the key group on every row."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return null_safe_join(df, sizes, keys, "inner")
+    return attach(df, sizes, keys)
 
 
 def freq_encode(df: DataFrame, col: str) -> DataFrame:
     """Replace a category by its number of rows; a missing category becomes 0."""
     counts = df.groupBy(col).agg(F.count(col).alias("__freq"))
-    return null_safe_join(df, counts, [col], "inner").withColumn(col, F.col("__freq")).drop("__freq")
+    return attach(df, counts, [col]).withColumn(col, F.col("__freq")).drop("__freq")
 
 
 def remerge_sum(df: DataFrame, group: str, keep: Sequence[str], measure: str, name: str) -> DataFrame:
     """Distinct rows of the kept columns, each with the total of its group."""
     totals = df.groupBy(group).agg(F.sum(measure).alias(name))
     distinct = df.select(group, *keep).distinct()
-    return null_safe_join(distinct, totals, [group], "inner")
+    return attach(distinct, totals, [group])
 
 
 def bundle(measure: str, scale: int = 2) -> list[Column]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from abacist.functions.scalars import finite_or_zero, safe_divide
 from abacist.operators.aggregates import is_numeric
 from abacist.operators.cells import cells
+from abacist.operators.ordered import BROADCAST_ROWS
 from abacist.operators.quantiles import exact_quantiles
 from abacist.session import materialise
 
@@ -186,8 +187,9 @@ def woe_transform(
     """Add the bin's ``value`` of each column: first bin whose maximum is not below x, else 0.
 
     Monotone bins number at most a few dozen per column and become a ``when`` chain. Category bins
-    may be many and are joined.
+    may be many: they are counted, broadcast where few and joined by shuffle where not.
     """
+    sizes = {r["var"]: r["count"] for r in bins.where(F.col("var").isin(*chars)).groupBy("var").count().collect()} if chars else {}
     few = bins.where(F.col("var").isin(*mono)).select("var", "max_value", value).collect() if mono else []
     made: dict[str, Column] = {}
     for x in mono:
@@ -202,6 +204,7 @@ def woe_transform(
         side = bins.where(F.col("var") == x).select(
             F.col("category").alias("__cat"), F.col(value).alias("__value")
         )
+        side = F.broadcast(side) if sizes.get(x, 0) <= BROADCAST_ROWS else side
         out_df = out_df.join(side, F.col(x).cast("string").eqNullSafe(F.col("__cat")), "left").withColumn(
             prefix + x, F.coalesce("__value", F.lit(0.0))
         ).drop("__cat", "__value")

@@ -100,9 +100,11 @@ def class_report(df: DataFrame, pred: str, label: str) -> DataFrame:
 def lift_table(df: DataFrame, score: str, label: str, bins: int = 20) -> DataFrame:
     """Per score bin, best first: rows, targets, response, lift and the running versions of them.
 
-    Cut points are exact quantiles; a score equal to a cut falls in the lower bin. The running
-    totals go over ``bins`` rows.
+    Cut points are exact quantiles; a score equal to a cut falls in the lower bin. Score and label are
+    written once, because a score is often the output of a model and several passes read it. The
+    running totals go over ``bins`` rows.
     """
+    df = materialise(df.select(score, label))
     cuts = exact_quantiles(df, [score], [i / bins for i in range(1, bins)])[score]
     bucket: Column = F.lit(bins)
     for i, c in enumerate(cuts, start=1):

@@ -22,6 +22,10 @@ from abacist.session import materialise
 GROUP_LIMIT = 4_000_000
 """Rows of one group that a single task may sort and scan."""
 
+BROADCAST_ROWS = 100_000
+"""Counted rows of a narrow side table up to which it is sent to every task."""
+
+KEY = "__key"
 BLOCK = "__block"
 ROW = "__row"
 
@@ -77,13 +81,29 @@ class Running:
         return F.when(carried.isNull(), own).when(own.isNull(), carried).otherwise(op(carried, own))
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, names: Sequence[str], how: str, small: bool = False) -> DataFrame:
     """Equi-join that also matches null keys to null keys."""
     renamed = right.withColumnsRenamed({n: f"__right_{n}" for n in names})
+    renamed = F.broadcast(renamed) if small else renamed
     cond = reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.col(f"__right_{n}")) for n in names))
     return left.join(renamed, cond, how).drop(*[f"__right_{n}" for n in names])
 
 
+def is_small(side: DataFrame) -> bool:
+    """Whether a written side table has few enough rows to broadcast; counts no further than the limit."""
+    return side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def attach(df: DataFrame, side: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Inner join of a narrow aggregated table, null keys included.
+
+    The side table is written and counted. A small one is broadcast, so the rows it is attached to are
+    not shuffled; a large one is joined by shuffle, where adaptive execution splits hot keys.
+    """
+    side = materialise(side)
+    return null_safe_join(df, side, names, "inner", is_small(side))
+
+
 def hot_groups(df: DataFrame, by: Sequence[str], limit: int) -> DataFrame | None:
     """Keys of the groups above the limit, or None. At most rows/limit keys exist."""
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
@@ -94,12 +114,15 @@ def hot_groups(df: DataFrame, by: Sequence[str], limit: int) -> DataFrame | None
 def in_blocks(df: DataFrame, by: Sequence[str], order: Sequence[str], parts: int | None = None) -> DataFrame:
     """Rows in (by, order) sequence over range partitions, numbered once and written durably.
 
-    ``order`` must end in a unique column, so that no partition is forced to hold equal keys.
+    ``order`` must end in a unique column, so that no partition is forced to hold equal keys. The group
+    columns are also kept as one struct, which is never null and compares null fields as equal: windows,
+    totals and the join on it share one hash partitioning.
     """
     keys = [*by, *order]
     ranged = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
     numbered = ranged.sortWithinPartitions(*keys).withColumn(ROW, F.monotonically_increasing_id())
-    return materialise(numbered.withColumn(BLOCK, F.shiftright(F.col(ROW), 33)))
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    return materialise(numbered.withColumns({BLOCK: F.shiftright(F.col(ROW), 33), KEY: group}))
 
 
 def running(
@@ -127,7 +150,7 @@ def running(
 
     def blocked(rows: DataFrame) -> DataFrame:
         rows = in_blocks(rows, by, order, parts)
-        keys = [*by, BLOCK]
+        keys = [KEY, BLOCK]
 
         def turn(s: Running, c: str) -> Column:
             return F.desc(c) if s.backward else F.asc(c)
@@ -138,14 +161,14 @@ def running(
             )
 
         def earlier(s: Running):
-            return Window.partitionBy(*by).orderBy(turn(s, BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
+            return Window.partitionBy(KEY).orderBy(turn(s, BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
 
         blocks = rows.groupBy(*keys).agg(*[s.of_block().alias(f"__v_{s.name}") for s in specs])
         carried = blocks.select(
             *keys, *[s.over_blocks(F.col(f"__v_{s.name}"), earlier(s)).alias(f"__c_{s.name}") for s in specs]
         )
         own = rows.withColumns({f"__o_{s.name}": s.within(inside(s)) for s in specs})
-        joined = null_safe_join(own, carried, keys, "left")
+        joined = own.join(carried, keys, "left")
         return joined.select(
             *df.columns,
             *[s.combine(F.col(f"__c_{s.name}"), F.col(f"__o_{s.name}")).alias(s.name) for s in specs],
@@ -157,8 +180,9 @@ def running(
         hot = hot_groups(df, by, group_limit)
     if hot is None:
         return windowed(df)
-    cold = null_safe_join(df, hot, by, "left_anti")
-    large = null_safe_join(df, hot, by, "left_semi")
+    few = is_small(hot)
+    cold = null_safe_join(df, hot, by, "left_anti", few)
+    large = null_safe_join(df, hot, by, "left_semi", few)
     return windowed(cold).unionByName(blocked(large))
 
 

@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.functions.scalars import later, map_value, try_cast
-from abacist.operators.aggregates import ActionRule, apportion, conditional_sums
+from abacist.functions.scalars import later, map_value, safe_divide, try_cast
+from abacist.operators.aggregates import ActionRule, conditional_sums, group_rows
 from abacist.sources.tables import append, union_sources
 
 # Account to currency
@@ -96,23 +96,27 @@ def ad_fact(
     """KPI fact with every measure split evenly over the content ids of an ad.
 
     The (ad_id, cid) bridge is made unique first, so sums over content ids equal the unsplit sums;
-    ``keep_duplicates`` keeps repeated bridge rows and sums them. Ids that are no numbers are null
+    ``keep_duplicates`` counts a measure once per repeated bridge row. Ids that are no numbers are null
     and never match, as in SQL. Action sums have no platform and repeat on every platform of an ad.
+
+    The rows that share a measure are the KPI rows of the split key times the ad's content ids. Both
+    counts come from small aggregates, so measures are divided before the join that fans them out and
+    the fanned-out rows are never grouped again.
     """
     extra = list(extra)
-    cids = bridge.select("ad_id", "cid").where(F.col("cid").isNotNull())
-    cids = cids if keep_duplicates else cids.distinct()
-    rows = (
-        main_kpis(insights, extra)
-        .join(action_kpis(actions, rules, extra), [*extra, *SHARED], "left")
-        .join(cids, "ad_id", "left")
-    )
+    cids = bridge.where(F.col("cid").isNotNull()).groupBy("ad_id", "cid").agg(F.count(F.lit(1)).alias("__copies"))
+    per_ad = cids.groupBy("ad_id").agg(F.count(F.lit(1)).alias("__cids"))
+    main = group_rows(main_kpis(insights, extra), [*extra, *SPLIT_KEYS], "__rows")
+    rows = main.join(action_kpis(actions, rules, extra), [*extra, *SHARED], "left").join(per_ad, "ad_id", "left")
     measures = [*MAIN_KPIS, *[r.name for r in rules]]
-    keys = [*extra, *SHARED, "platform", "objective", "currency", "cid"]
-    rows = rows.withColumn("last_modified", later("a_modified", "b_modified")).drop("a_modified", "b_modified")
-    if keep_duplicates:
-        rows = rows.groupBy(*keys, "last_modified").agg(*[F.sum(m).alias(m) for m in measures])
-    return apportion(rows.select(*keys, *measures, "last_modified"), [*extra, *SPLIT_KEYS], measures)
+    keys = [*extra, *SHARED, "platform", "objective", "currency"]
+    share = F.col("__rows") * F.coalesce("__cids", F.lit(1))
+    split = rows.select(
+        *keys, *[safe_divide(F.col(m), share).alias(m) for m in measures],
+        later("a_modified", "b_modified").alias("last_modified"),
+    ).join(cids, "ad_id", "left")
+    copies = F.coalesce("__copies", F.lit(1)) if keep_duplicates else F.lit(1)
+    return split.select(*keys, "cid", *[(F.col(m) * copies).alias(m) for m in measures], "last_modified")
 
 
 def run_ad_kpi(

@@ -10,7 +10,7 @@ from abacist.plans.stock_study import run_stock_study
 from abacist.queries.registry import load, mean_sql, query
 
 SERIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-N_TRAIN = 1200
+N_TRAIN = 200
 
 DAILY_SQL = f"""daily AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date, {mean_sql('o_totalprice')} AS full_close
     FROM orders GROUP BY 1, 2),

@@ -23,7 +23,7 @@ TABLES = (
 
 def cell(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.12g}")
+        return None if math.isnan(v) else v + 0.0
     return v
 
 

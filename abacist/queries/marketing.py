@@ -168,15 +168,26 @@ def market_union(spark, sf):
     return tables.union_sources(spark, "orders_{tag}_" + run, list(markets), per_status)
 
 
-@query("table_discovery", "SELECT * FROM (VALUES ('sa'), ('ae')) t(country)")
+@query(
+    "table_discovery",
+    f"""SELECT CASE WHEN event_type IN ('click', 'view') THEN 'uae' ELSE 'ksa' END AS country, COUNT(*) AS rows, {sum_sql('value')} AS value
+    FROM events GROUP BY 1""",
+)
 def table_discovery(spark, sf):
-    """Country codes from table names; the tables are views of the events."""
+    """Countries found in table names, then one aggregate over each country's table; decoys are passed over."""
     events = load(spark, sf, "events")
     run = uuid.uuid4().hex[:8]
-    for name in (f"rs{run}_amio_marketsa_campaign", f"rs{run}_amio_marketae_campaign",
-                 f"rs{run}_amio_marketfr_campaign_stage", f"rs{run}_other_marketde_campaign"):
-        events.createOrReplaceTempView(name)
-    return tables.discover(spark, [f"rs{run}", "amio", "campaign"], ["stage"])
+    for country, kinds in MARKETS.items():
+        events.where(F.col("event_type").isin(kinds)).createOrReplaceTempView(f"rs{run}_amio_market{country}_campaign")
+    for decoy in (f"rs{run}_amio_marketfra_campaign_stage", f"rs{run}_other_marketdeu_campaign"):
+        events.createOrReplaceTempView(decoy)
+    found = tables.discover(spark, [f"rs{run}", "amio", "campaign"], ["stage"])
+    countries = sorted(r["country"] for r in found.collect())
+
+    def total(df):
+        return df.agg(F.count(F.lit(1)).alias("rows"), exact_sum("value").alias("value"))
+
+    return tables.union_sources(spark, f"rs{run}_amio_market" + "{tag}_campaign", countries, total, "country")
 
 
 @query(

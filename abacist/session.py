@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint: lost executors re-read it, never recompute it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage with a written table in the shared folder.
+
+    Lost executors make later jobs read it again, never compute it again. As a columnar table it is
+    read only in the columns a later step needs, and its size is known to the planner.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

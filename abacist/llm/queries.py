@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import bpe, mixing, quality, secrets, topk_search, url_filter
+from abacist.llm import bpe, fingerprints, jaccard_join, language, mixing, pii, quality, secrets, topk_search, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,6 +99,23 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
 
+@query
+def op4_pseudonyms(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
+@query
+def op5_jaccard_join(spark, sf_dir):
+    found = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
+@query
+def op6_language(spark, sf_dir):
+    langs, model = language.fit(table(spark, sf_dir, "documents"))
+    return language.identify(table(spark, sf_dir, "pages"), langs, model)
+
+
 @query
 def op7_secret_scan(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
@@ -126,3 +143,8 @@ def tokenizer_pattern() -> str:
 @query
 def op9_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_pattern())
+
+
+@query
+def op10_fingerprints(spark, sf_dir):
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))

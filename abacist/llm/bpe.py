@@ -31,10 +31,11 @@ from pyspark.sql import DataFrame
 from abacist.llm.common import per_batch
 
 MOST_STATES = 100_000
-MOST_WORDS = 100_000
+MOST_WORDS = 200_000
 """Remembered short texts with their ids."""
 WIDE_SPACE = re.compile(r" \s|\s |^ | $")
 MOST_BELOW = 40
+MOST_PAIRS = 1_000_000
 CHUNK = 4096
 ROOT = 0
 
@@ -64,12 +65,15 @@ class Transducer:
         self.halves_of: dict[int, tuple | None] = {}
         self.ends_of: tuple[dict, dict] = {}, {}
         self.pairs: dict[int, bool] = {}
+        self.paths: dict[int, tuple | None] = {}
+        self.alike: dict[tuple, tuple] = {}
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.steps: list[dict[int, tuple]] = []
+        self.steps: dict[int, tuple] = {}
+        self.moves: dict[tuple, tuple] = {}
         self.start = self.state_number(((-1, ROOT),))
 
     def state_number(self, state: tuple) -> int:
@@ -77,7 +81,6 @@ class Transducer:
         if found is None:
             found = self.number[state] = len(self.states)
             self.states.append(state)
-            self.steps.append({})
         return found
 
     def halves(self, token: int) -> tuple | None:
@@ -116,7 +119,7 @@ class Transducer:
         """
         known = self.pairs.get(before << 32 | token)
         if known is None:
-            if len(self.pairs) > 5 * MOST_STATES:
+            if len(self.pairs) > MOST_PAIRS:
                 self.pairs.clear()
             known = self.pairs[before << 32 | token] = self.stay_apart(before, token)
         return known
@@ -133,16 +136,22 @@ class Transducer:
                     return False
         return True
 
-    def leads_on(self, last: int, node: int) -> bool:
-        """Whether a longer token through this node may follow; nodes above many tokens count as such."""
+    def path(self, last: int, node: int) -> tuple[int, int] | None:
+        """The path, None if no longer token through its node may follow.
+
+        Where few tokens lie below the node, last tokens after which the same of them may follow are one.
+        """
         below = self.below.get(node, ())
         if len(below) > MOST_BELOW:
-            return True
-        key = -1 - (node << 32 | last + 1)
-        known = self.pairs.get(key)
-        if known is None:
-            known = self.pairs[key] = any(self.may_follow(last, token) for token in below)
-        return known
+            return last, node
+        key = last + 1 << 32 | node
+        if key not in self.paths:
+            if len(self.paths) > 3 * MOST_STATES:
+                self.paths.clear()
+                self.alike.clear()
+            free = tuple(token for token in below if self.may_follow(last, token))
+            self.paths[key] = self.alike.setdefault((node, free), (last, node)) if free else None
+        return self.paths[key]
 
     def step(self, state: int, byte: int) -> tuple:
         """Next state, the path from which all new paths come or -1, and each new path's old path and new token."""
@@ -151,8 +160,9 @@ class Transducer:
             node = self.child.get(node << 8 | byte)
             if node is None:
                 continue
-            if self.leads_on(last, node):
-                after.append(((last, node), source, -1))
+            longer = self.path(last, node)
+            if longer:
+                after.append((longer, source, -1))
             token = self.token[node]
             if token >= 0 and self.may_follow(last, token):
                 after.append(((token, ROOT), source, token))
@@ -160,8 +170,9 @@ class Transducer:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
         sources = {source for _, source, _ in after}
         target = self.state_number(tuple(path for path, _, _ in after))
-        result = self.steps[state][byte] = (
-            target, sources.pop() if len(sources) == 1 else -1, tuple((source, token) for _, source, token in after))
+        moves = tuple((source, token) for _, source, token in after)
+        result = target, sources.pop() if len(sources) == 1 else -1, self.moves.setdefault(moves, moves)
+        self.steps[state << 8 | byte] = result
         return result
 
     def encode(self, data: bytes) -> list[int]:
@@ -170,7 +181,7 @@ class Transducer:
         out: list[int] = []
         state, steps, pending = self.start, self.steps, [()]
         for byte in data:
-            state, sure, moves = steps[state].get(byte) or self.step(state, byte)
+            state, sure, moves = steps.get(state << 8 | byte) or self.step(state, byte)
             if sure >= 0:
                 out += pending[sure]
                 pending = [() if token < 0 else (token,) for _, token in moves]

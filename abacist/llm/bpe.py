@@ -179,14 +179,15 @@ class Transducer:
         if len(self.states) > MOST_STATES:
             self.forget()
         out: list[int] = []
-        state, steps, pending = self.start, self.steps, [()]
+        state, steps, pending = self.start, self.steps, [None]  # per path its tokens as (tokens before, token)
         for byte in data:
             state, sure, moves = steps.get(state << 8 | byte) or self.step(state, byte)
             if sure >= 0:
-                out += pending[sure]
-                pending = [() if token < 0 else (token,) for _, token in moves]
+                if pending[sure]:
+                    out += in_order(pending[sure])
+                pending = [None if token < 0 else (None, token) for _, token in moves]
             else:
-                pending = [pending[source] if token < 0 else (*pending[source], token) for source, token in moves]
+                pending = [pending[source] if token < 0 else (pending[source], token) for source, token in moves]
             if state > MOST_STATES:  # inside a long piece: go on from this state in an empty memory
                 kept = self.states[state]
                 self.forget()
@@ -194,10 +195,18 @@ class Transducer:
         ends = [p for p, (_, node) in zip(pending, self.states[state]) if node == ROOT]
         if len(ends) != 1:
             raise ValueError("the ranks do not give one encoding")
-        out += ends[0]
+        out += in_order(ends[0])
         return out
 
 
+def in_order(tokens: tuple | None) -> list[int]:
+    found = []
+    while tokens:
+        tokens, token = tokens
+        found.append(token)
+    return found[::-1]
+
+
 class Remembered(dict):
     """Ids of short texts, made when first asked for; a full memory is kept until the next is full."""
 

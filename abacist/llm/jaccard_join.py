@@ -25,7 +25,7 @@ and stay alone; rows with equal ids are counted as one document per row, null id
 from __future__ import annotations
 
 import math
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 
 from abacist.llm.common import per_batch
 from abacist.llm.components import components
+from abacist.llm.url_filter import BITS_PER_KEY, BROADCAST_BYTES, bit_of, block_of, bloom_filter
+from abacist.llm.url_filter import WORDS as FILTER_WORDS
 from abacist.session import materialise
 
 WORDS = 5
@@ -253,6 +255,20 @@ def tiles(members: DataFrame) -> DataFrame:
         "pair", (F.col("level") != F.col("other")) | (F.col("a") != F.col("b")))
 
 
+def possible(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose ``text_key`` passes a blocked Bloom filter of the keys, so that few texts are shuffled.
+
+    Up to ``BROADCAST_BYTES`` of filter; beyond, all rows go on to the exact join.
+    """
+    blocks = keys.count() * BITS_PER_KEY // (64 * FILTER_WORDS) + 1
+    if blocks * (FILTER_WORDS + 1) * 8 > BROADCAST_BYTES:
+        return rows
+    key = F.col("text_key")
+    bloom = F.broadcast(bloom_filter(keys, "text_key", blocks))
+    passes = reduce(lambda a, b: a & b, (F.col(f"w{i}").bitwiseAND(bit_of(key, i)) != 0 for i in range(FILTER_WORDS)))
+    return rows.join(bloom, block_of(key, blocks) == F.col("__block")).where(passes).select("text_key", "text")
+
+
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents' ``doc_id`` with ``text_key``, ``class_id`` (smallest id of the class of near duplicates) and ``n_links``.
 
@@ -279,10 +295,12 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     def sets(batch: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"key": batch["text_key"], "grams": [grams(t).tobytes() for t in batch["text"]]})
 
-    wanted = rows.select("text_key", "text").join(members.select("text_key"), "text_key", "left_semi")
+    wanted = possible(rows.select("text_key", "text"), members.select("text_key"))
+    wanted = wanted.join(members.select("text_key"), "text_key", "left_semi")
     gram_sets = per_batch(wanted, sets, "key string, grams binary").groupBy("key").agg(F.first("grams").alias("grams"))
     members = materialise(members.join(gram_sets, F.col("text_key") == F.col("key")).drop("key", "text_key"))
-    reached = materialise(tiles(members).groupBy("component", "level", "a", "other", "b").applyInPandas(
+    tile = ["component", "level", "a", "other", "b"]
+    reached = materialise(tiles(members).repartition(*tile).groupBy(*tile).applyInPandas(
         lambda part: compare_block(part, threshold), "node long, linked long, head long"))
     links = reached.groupBy(F.col("node").alias("l_node")).agg(F.sum("linked").alias("linked"))
     joined = components(reached.where(F.col("node") != F.col("head")).select(F.col("node").alias("a"), F.col("head").alias("b")))

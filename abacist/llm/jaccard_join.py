@@ -296,7 +296,8 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
         return pd.DataFrame({"key": batch["text_key"], "grams": [grams(t).tobytes() for t in batch["text"]]})
 
     wanted = possible(rows.select("text_key", "text"), members.select("text_key"))
-    wanted = wanted.join(members.select("text_key"), "text_key", "left_semi")
+    # an inner join, since a semi join would be pushed below the filter; the members' keys are distinct
+    wanted = wanted.join(members.select("text_key"), "text_key")
     gram_sets = per_batch(wanted, sets, "key string, grams binary").groupBy("key").agg(F.first("grams").alias("grams"))
     members = materialise(members.join(gram_sets, F.col("text_key") == F.col("key")).drop("key", "text_key"))
     tile = ["component", "level", "a", "other", "b"]

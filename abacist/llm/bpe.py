@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame
 
 from abacist.llm.common import per_batch
 
-MOST_STATES = 100_000
-MOST_WORDS = 200_000
+MOST_STATES = 80_000
+MOST_WORDS = 100_000
 """Remembered short texts with their ids."""
 WIDE_SPACE = re.compile(r" \s|\s |^ | $")
 MOST_BELOW = 40
-MOST_PAIRS = 1_000_000
+MOST_PAIRS = 500_000
 CHUNK = 4096
 ROOT = 0
 
@@ -146,7 +146,7 @@ class Transducer:
             return last, node
         key = last + 1 << 32 | node
         if key not in self.paths:
-            if len(self.paths) > 3 * MOST_STATES:
+            if len(self.paths) > 2 * MOST_STATES:
                 self.paths.clear()
                 self.alike.clear()
             free = tuple(token for token in below if self.may_follow(last, token))

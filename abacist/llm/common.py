@@ -8,16 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACES = r"\x20\x09-\x0D"
+SLICE = 1000
+"""Rows that a Python worker turns into results at once."""
 WORD = rf"[^{SPACES}]+"
 
 
 def per_batch(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """Apply a pandas-to-pandas function to every Arrow batch; no rows are gathered."""
+    """Apply a pandas-to-pandas function to slices of every Arrow batch; no rows are gathered."""
 
     def run(batches):
         for batch in batches:
-            if len(batch):
-                yield fn(batch)
+            for i in range(0, len(batch), SLICE):
+                yield fn(batch.iloc[i:i + SLICE].reset_index(drop=True))
 
     return df.mapInPandas(run, schema)
 

@@ -49,7 +49,7 @@ TOLERANCE = 1e-6
 BLOCK_ROWS, BLOCK_GRAMS = 1024, 1 << 20
 """Classes and grams of one block; a single larger text stands alone."""
 MIX = np.uint64(0x9E3779B97F4A7C15)
-MOST_WORDS = 200_000
+MOST_WORDS = 80_000
 BINS = BANDS * ROWS
 WALKS = np.random.default_rng(11).integers(0, BINS, (64, BINS))
 MULTIPLIERS = np.random.default_rng(12).integers(0, 2**63, COMPARED, dtype="u8") * np.uint64(2) + np.uint64(1)

@@ -189,7 +189,9 @@ def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESH
     measured = with_statistics(narrow).select("doc_id", "__stats").withColumn("held_out", held_out(F.col("doc_id")))
     training = materialise(training_rows(measured, labels))
     model = fit(training)
-    names = documents.columns
-    ready = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "text")
-    return score(with_statistics(ready), model, threshold).where(F.col("predicted") == 1).select(
-        *[F.col("row").getField(c).alias(c) for c in names])
+
+    @F.pandas_udf("double")
+    def score_of(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.array([statistics(t) for t in texts]).reshape(-1, len(NAMES))))
+
+    return documents.where(score_of("text") >= threshold)

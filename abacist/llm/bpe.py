@@ -6,7 +6,7 @@ tokens, and wherever a token ends that may follow the one before, also begin a n
 follows all such paths at once. A state holds each path's last token and its place in the trie; the
 tokens that are not certain yet are kept beside it. As soon as all paths come from one, its tokens are
 emitted. Paths die after at most the length of the longest token, which bounds the lookahead. States and steps are made
-when a text first needs them and kept up to ``MOST_STATES``, then dropped and made anew.
+when a text first needs them and kept up to half of ``MOST_WORDS``, then dropped and made anew.
 
 Decoding joins the tokens' bytes chunk by chunk and turns them into text with an incremental UTF-8
 decoder, which carries the bytes of an unfinished character to the next chunk.
@@ -30,12 +30,10 @@ from pyspark.sql import DataFrame
 
 from abacist.llm.common import per_batch
 
-MOST_STATES = 80_000
-MOST_WORDS = 100_000
-"""Remembered short texts with their ids."""
+MOST_WORDS = 200_000
+"""Remembered short texts with their ids; the transducer's own memories are bounded in proportion."""
 WIDE_SPACE = re.compile(r" \s|\s |^ | $")
 MOST_BELOW = 40
-MOST_PAIRS = 500_000
 CHUNK = 4096
 ROOT = 0
 
@@ -43,7 +41,8 @@ ROOT = 0
 class Transducer:
     """Bytes in, token ids out."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], memory: int = MOST_WORDS):
+        self.most_states, self.most_paths, self.most_pairs = memory // 2, memory * 3 // 2, memory * 5
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.child: dict[int, int] = {}
@@ -119,7 +118,7 @@ class Transducer:
         """
         known = self.pairs.get(before << 32 | token)
         if known is None:
-            if len(self.pairs) > MOST_PAIRS:
+            if len(self.pairs) > self.most_pairs:
                 self.pairs.clear()
             known = self.pairs[before << 32 | token] = self.stay_apart(before, token)
         return known
@@ -146,7 +145,7 @@ class Transducer:
             return last, node
         key = last + 1 << 32 | node
         if key not in self.paths:
-            if len(self.paths) > 2 * MOST_STATES:
+            if len(self.paths) > self.most_paths:
                 self.paths.clear()
                 self.alike.clear()
             free = tuple(token for token in below if self.may_follow(last, token))
@@ -176,7 +175,7 @@ class Transducer:
         return result
 
     def encode(self, data: bytes) -> list[int]:
-        if len(self.states) > MOST_STATES:
+        if len(self.states) > self.most_states:
             self.forget()
         out: list[int] = []
         state, steps, pending = self.start, self.steps, [None]  # per path its tokens as (tokens before, token)
@@ -188,7 +187,7 @@ class Transducer:
                 pending = [None if token < 0 else (None, token) for _, token in moves]
             else:
                 pending = [pending[source] if token < 0 else (pending[source], token) for source, token in moves]
-            if state > MOST_STATES:  # inside a long piece: go on from this state in an empty memory
+            if state > self.most_states:  # inside a long piece: go on from this state in an empty memory
                 kept = self.states[state]
                 self.forget()
                 state, steps = self.state_number(kept), self.steps
@@ -230,11 +229,11 @@ class Codec:
     """Between two characters that are not white space, a single blank always begins a match of the
     pattern, so texts are cut there first and equal parts are matched and encoded once."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = MOST_WORDS):
         self.pattern = regex.compile(pattern)
-        self.transducer = Transducer(ranks)
-        self.pieces = Remembered(lambda piece: self.transducer.encode(piece.encode()), MOST_WORDS)
-        self.parts = Remembered(lambda part: self.matches(" " + part), MOST_WORDS)
+        self.transducer = Transducer(ranks, memory)
+        self.pieces = Remembered(lambda piece: self.transducer.encode(piece.encode()), memory)
+        self.parts = Remembered(lambda part: self.matches(" " + part), memory)
         self.bytes_of = self.transducer.bytes_of
 
     def matches(self, text: str) -> Iterator[int]:
@@ -264,11 +263,11 @@ CODECS: dict[tuple, Codec] = {}
 """One codec per worker process and vocabulary."""
 
 
-def codec_of(data: bytes, pattern: str) -> Codec:
-    key = hashlib.sha256(data).digest(), pattern
+def codec_of(data: bytes, pattern: str, memory: int = MOST_WORDS) -> Codec:
+    key = hashlib.sha256(data).digest(), pattern, memory
     if key not in CODECS:
         CODECS.clear()
-        CODECS[key] = Codec(read_ranks(data), pattern)
+        CODECS[key] = Codec(read_ranks(data), pattern, memory)
     return CODECS[key]
 
 
@@ -278,12 +277,12 @@ def vocabulary(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every whole text."""
+def encode(documents: DataFrame, path: str, pattern: str, memory: int = MOST_WORDS) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every whole text; ``memory`` bounds what a worker remembers."""
     data = vocabulary(documents, path)
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
-        codec = codec_of(data.value, pattern)
+        codec = codec_of(data.value, pattern, memory)
         ids = [codec.encode(t) for t in batch["text"]]
         return pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [len(i) for i in ids],
                              "ids": [i.astype("i4") for i in ids]})

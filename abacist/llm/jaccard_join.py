@@ -136,7 +136,8 @@ def sketched(texts: DataFrame) -> DataFrame:
                 values.append(signature(found))
                 rows.append((key, xxhash.xxh128_hexdigest(found.tobytes()), len(found), compared(found)))
         out = pd.DataFrame(rows, columns=["text_key", "class_key", "n_grams", "signature"])
-        out["bands"] = [b for i in range(0, len(values), 500) for b in bands(np.stack(values[i:i + 500]))]
+        found = [b for i in range(0, len(values), 500) for b in bands(np.stack(values[i:i + 500]))]
+        out["bands"] = pd.Series(found, dtype=object)
         return out
 
     return per_batch(texts, run, "text_key string, class_key string, n_grams long, signature binary, bands array<long>")

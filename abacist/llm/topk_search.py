@@ -87,7 +87,7 @@ class Searcher:
 
 
 def stack(vectors, dim: int) -> np.ndarray:
-    return np.array([np.asarray(v, dtype="i8") for v in vectors], dtype="i8").reshape(-1, dim)
+    return np.array([np.asarray(v, dtype="i8") for v in vectors], dtype="i8").reshape(len(vectors), dim)
 
 
 def partial_best(queries, k: int):

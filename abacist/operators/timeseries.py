@@ -58,6 +58,8 @@ def ma_forecast(
     state at a later step is a matrix power times the first state: a long horizon is cut into chunks
     that different tasks generate independently.
     """
+    if n_train < window:
+        raise ValueError("the training part must hold a whole window")
     placed = position(df, [series], order, "__pos", **how)
     start = n_train - window
     seed = placed.where((F.col("__pos") > start) & (F.col("__pos") <= n_train)).groupBy(series).agg(

@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from datetime import date, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abacist.session import materialise
 from abacist.sources.tables import conform
 
+# Fixed value: the catalog's name of a null partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def window_of(as_of: date, days: int) -> tuple[date, date]:
     """First and last day of the window; both are included."""
@@ -68,21 +73,33 @@ def reload_window(
     rows = in_window(source, date_col, as_of, days)
     for name, values in scope.items():
         rows = rows.where(F.col(name).isin(values))
-    rows = conform(rows, schema)
-    keys = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
+    rows = materialise(conform(rows, schema))
     part_cols = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
     first, last = window_of(as_of, days)
 
     replace_partitions(rows, target)
 
     filled = {
-        tuple(str(v) for v in r)
+        tuple(None if v is None else str(v) for v in r)
         for r in rows.select(*part_cols).distinct().collect()
     }
-    for key in keys:
-        values = dict(piece.split("=", 1) for piece in key.split("/"))
+    for key in [r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]:
+        values = partition_values(key)
         in_scope = all(values.get(n) in listed for n, listed in scope.items())
-        if first.isoformat() <= values[date_col] <= last.isoformat() and in_scope:
+        if first.isoformat() <= (values[date_col] or "") <= last.isoformat() and in_scope:
             if tuple(values[c] for c in part_cols) not in filled:
-                spec = ", ".join(f"`{c}`='{values[c]}'" for c in part_cols)
+                spec = ", ".join(f"`{c}`={sql_text(values[c])}" for c in part_cols)
                 spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({spec})")
+
+
+def partition_values(name: str) -> dict[str, str | None]:
+    """Values of a partition as the catalog lists it: escaped signs and the mark for null are undone."""
+    pieces = (piece.split("=", 1) for piece in name.split("/"))
+    return {unquote(c): None if v == NULL_PARTITION else unquote(v) for c, v in pieces}
+
+
+def sql_text(value: str | None) -> str:
+    if value is None:
+        return "NULL"
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

@@ -27,6 +27,19 @@ def test_reload_window(spark, frame, tmp_path):
         assert got == {(1, "de", 1), (1, "fr", 1), (2, "de", 2), (4, "de", 2)}
 
 
+def test_reload_window_with_null_and_escaped_partitions(spark, frame, tmp_path):
+    days = [date(2024, 3, d) for d in (1, 2, 3)]
+    names = [None, "a/b", "it's", "x=y", "de"]
+    tables.ensure_table(spark, "rl_odd", SCHEMA, ["date", "country"], str(tmp_path / "rl_odd"))
+    tables.append(frame([(1, d, c) for d in days for c in names], SCHEMA), "rl_odd")
+    new = frame([(2, days[1], None), (2, days[1], "a/b"), (2, days[2], "it's")], SCHEMA)
+    expected = {(1, c, 1) for c in names} | {(2, None, 2), (2, "a/b", 2), (3, "it's", 2)}
+    for _ in range(2):
+        reload_window(new, "rl_odd", "date", days[2], 1)
+        rows = spark.table("rl_odd").collect()
+        assert len(rows) == len(expected) and {(r["date"].day, r["country"], r["v"]) for r in rows} == expected
+
+
 def test_reload_window_of_one_country(spark, frame, tmp_path):
     days = [date(2024, 3, d) for d in (1, 2, 3)]
     tables.ensure_table(spark, "rc", SCHEMA, ["date", "country"], str(tmp_path / "rc"))

@@ -20,8 +20,8 @@ import base64
 import codecs
 import hashlib
 import re
+import struct
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -207,16 +207,16 @@ def in_order(tokens: tuple | None) -> list[int]:
 
 
 class Remembered(dict):
-    """Ids of short texts, made when first asked for; a full memory is kept until the next is full."""
+    """Ids of short texts as bytes, made when first asked for; a full memory is kept until the next is full."""
 
-    def __init__(self, make: Callable[[str], Iterable[int]], most: int):
+    def __init__(self, make: Callable[[str], bytes], most: int):
         super().__init__()
         self.make, self.most, self.older = make, most, {}
 
-    def __missing__(self, text: str) -> tuple[int, ...]:
+    def __missing__(self, text: str) -> bytes:
         ids = self.older.get(text)
         if ids is None:
-            ids = tuple(self.make(text))
+            ids = self.make(text)
         if len(text) <= 64:
             if len(self) >= self.most:
                 self.older = dict(self)
@@ -227,24 +227,35 @@ class Remembered(dict):
 
 class Codec:
     """Between two characters that are not white space, a single blank always begins a match of the
-    pattern, so texts are cut there first and equal parts are matched and encoded once."""
+    pattern, so texts are cut there first and equal parts are matched and encoded once. A part that is
+    one match is remembered as a part only."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = MOST_WORDS):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = MOST_WORDS, words: int | None = None):
         self.pattern = regex.compile(pattern)
         self.transducer = Transducer(ranks, memory)
-        self.pieces = Remembered(lambda piece: self.transducer.encode(piece.encode()), memory)
-        self.parts = Remembered(lambda part: self.matches(" " + part), memory)
+        self.pieces = Remembered(self.piece, words or memory)
+        self.parts = Remembered(self.part, words or memory)
         self.bytes_of = self.transducer.bytes_of
 
-    def matches(self, text: str) -> Iterator[int]:
-        return chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(text)))
+    def piece(self, piece: str) -> bytes:
+        ids = self.transducer.encode(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def part(self, part: str) -> bytes:
+        found = self.pattern.findall(" " + part)
+        return self.piece(found[0]) if len(found) == 1 else b"".join(map(self.pieces.__getitem__, found))
+
+    def matches(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
     def encode(self, text: str | None) -> np.ndarray:
         text = text or ""
         if WIDE_SPACE.search(text):
-            return np.fromiter(self.matches(text), dtype="<u4")
-        first, *rest = text.split(" ")
-        return np.fromiter(chain(self.matches(first), chain.from_iterable(map(self.parts.__getitem__, rest))), dtype="<u4")
+            ids = self.matches(text)
+        else:
+            first, *rest = text.split(" ")
+            ids = self.matches(first) + b"".join(map(self.parts.__getitem__, rest))
+        return np.frombuffer(ids, dtype="<u4")
 
     def decode_stream(self, ids: Iterable[int]) -> Iterator[str]:
         """Text as it becomes certain; bytes that are no UTF-8 become replacement characters."""
@@ -263,11 +274,11 @@ CODECS: dict[tuple, Codec] = {}
 """One codec per worker process and vocabulary."""
 
 
-def codec_of(data: bytes, pattern: str, memory: int = MOST_WORDS) -> Codec:
-    key = hashlib.sha256(data).digest(), pattern, memory
+def codec_of(data: bytes, pattern: str, memory: int = MOST_WORDS, words: int | None = None) -> Codec:
+    key = hashlib.sha256(data).digest(), pattern, memory, words
     if key not in CODECS:
         CODECS.clear()
-        CODECS[key] = Codec(read_ranks(data), pattern, memory)
+        CODECS[key] = Codec(read_ranks(data), pattern, memory, words)
     return CODECS[key]
 
 
@@ -277,12 +288,15 @@ def vocabulary(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(documents: DataFrame, path: str, pattern: str, memory: int = MOST_WORDS) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every whole text; ``memory`` bounds what a worker remembers."""
+def encode(documents: DataFrame, path: str, pattern: str, memory: int = MOST_WORDS, words: int | None = None) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every whole text.
+
+    ``memory`` bounds what a worker remembers; ``words`` sets its short texts apart from the transducer's memories.
+    """
     data = vocabulary(documents, path)
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
-        codec = codec_of(data.value, pattern, memory)
+        codec = codec_of(data.value, pattern, memory, words)
         ids = [codec.encode(t) for t in batch["text"]]
         return pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [len(i) for i in ids],
                              "ids": [i.astype("i4") for i in ids]})

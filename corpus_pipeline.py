@@ -11,7 +11,7 @@ from abacist.llm.queries import table, tokenizer_path, tokenizer_pattern
 from abacist.session import shared_dir
 
 
-WORKER_MEMORY = 50_000
+WORKER_WORDS = 100_000
 """Words that a tokenizing worker remembers: less than the operator's own bound, as its executor also serves the other stages."""
 
 
@@ -37,7 +37,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids) of every drawn text."""
-    return bpe.encode(docs, tokenizer_path(), tokenizer_pattern(), memory=WORKER_MEMORY)
+    return bpe.encode(docs, tokenizer_path(), tokenizer_pattern(), words=WORKER_WORDS)
 
 
 STAGES = [("quality", keep_good), ("near_duplicates", keep_one), ("pseudonyms", pseudonymise), ("mix", mix), ("tokens", tokens)]

@@ -132,20 +132,31 @@ def map_value(c: ColumnOrName, mapping: Mapping[str, object]) -> Column:
     return case_map([(c == F.lit(k), v) for k, v in mapping.items()])
 
 
-def units(c: ColumnOrName, scale: int = 2) -> Column:
-    """A decimal amount as whole units of its last decimal place."""
+def units(c: ColumnOrName, scale: int) -> Column:
+    """An amount as whole units of its decimal place ``scale``; further places are rounded."""
     return F.rint(as_col(c) * F.lit(float(10**scale))).cast("long")
 
 
-def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
-    """Sum of decimal amounts, added as integers.
+EXACT = "decimal(38,18)"
+"""Type of exact totals: 20 digits before the point and 18 behind it."""
+
+
+def exact_total(c: ColumnOrName) -> Column:
+    """Sum of numbers, added as decimals.
 
     Double sums depend on the order in which partitions are merged, so a retried task can change
-    the last digits. Integer sums do not, and overflow raises instead of wrapping.
+    the last digits. Decimal sums do not, and a total of more than 20 digits before the point raises.
+    Each number counts with all digits that it prints; only those behind the 18th place are rounded,
+    which numbers of at least 0.1 do not have.
     """
-    return F.sum(units(c, scale)).cast("double") / F.lit(float(10**scale))
+    return F.sum(as_col(c).cast(EXACT))
+
+
+def exact_sum(c: ColumnOrName) -> Column:
+    """``exact_total`` as double."""
+    return exact_total(c).cast("double")
 
 
-def exact_mean(c: ColumnOrName, scale: int = 2) -> Column:
-    """Mean of decimal amounts: exact integer sum over the count; null for no rows."""
-    return F.try_divide(exact_sum(c, scale), F.count(as_col(c)))
+def exact_mean(c: ColumnOrName) -> Column:
+    """Exact sum over the count; null for no rows."""
+    return F.try_divide(exact_sum(c), F.count(as_col(c)))

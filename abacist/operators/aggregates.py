@@ -65,13 +65,13 @@ def remerge_sum(df: DataFrame, group: str, keep: Sequence[str], measure: str, na
     return attach(distinct, totals, [group])
 
 
-def bundle(measure: str, scale: int = 2) -> list[Column]:
+def bundle(measure: str) -> list[Column]:
     """Max, min, mean, sum and count of one measure."""
     return [
         F.max(measure).alias("max"),
         F.min(measure).alias("min"),
-        exact_mean(measure, scale).alias("mean"),
-        exact_sum(measure, scale).alias("sum"),
+        exact_mean(measure).alias("mean"),
+        exact_sum(measure).alias("sum"),
         F.count(measure).alias("count"),
     ]
 
@@ -88,13 +88,13 @@ def pivot_count(df: DataFrame, by: str, category: str, values: Sequence, prefix:
     )
 
 
-def yoy(df: DataFrame, by: Sequence[str], date_col: str, amount: str, scale: int = 2) -> DataFrame:
+def yoy(df: DataFrame, by: Sequence[str], date_col: str, amount: str) -> DataFrame:
     """Yearly total, the total of the row before it and the growth; null in the first year.
 
     The window runs over one row per group and year.
     """
     yearly = df.groupBy(*by, F.year(date_col).cast("long").alias("year")).agg(
-        exact_sum(amount, scale).alias("revenue")
+        exact_sum(amount).alias("revenue")
     )
     before = F.lag("revenue", 1).over(Window.partitionBy(*by).orderBy("year"))
     return yearly.withColumn("previous_revenue", before).withColumn(
@@ -102,13 +102,13 @@ def yoy(df: DataFrame, by: Sequence[str], date_col: str, amount: str, scale: int
     )
 
 
-def means_long(df: DataFrame, by: str, col: str, scale: int = 2) -> DataFrame:
+def means_long(df: DataFrame, by: str, col: str) -> DataFrame:
     """Statistics as rows: N, MIN, MAX, MEAN, STD per group."""
     stats = df.groupBy(by).agg(
         F.count(col).cast("double").alias("N"),
         F.min(col).alias("MIN"),
         F.max(col).alias("MAX"),
-        exact_mean(col, scale).alias("MEAN"),
+        exact_mean(col).alias("MEAN"),
         F.stddev_samp(col).alias("STD"),
     )
     return stats.unpivot(by, ["N", "MIN", "MAX", "MEAN", "STD"], "stat", col)
@@ -166,7 +166,7 @@ def is_numeric(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.NumericType)
 
 
-def describe_profile(df: DataFrame, cols: Sequence[str], scale: int = 2) -> DataFrame:
+def describe_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, std, min, exact quartiles and max per numeric column."""
     quartiles = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
     one = df.agg(
@@ -174,7 +174,7 @@ def describe_profile(df: DataFrame, cols: Sequence[str], scale: int = 2) -> Data
             F.struct(
                 F.lit(c).alias("column"),
                 F.count(c).alias("count"),
-                exact_mean(c, scale).alias("mean"),
+                exact_mean(c).alias("mean"),
                 F.stddev_samp(c).alias("std"),
                 F.min(c).cast("double").alias("min"),
                 *[F.lit(q).cast("double").alias(n) for q, n in zip(quartiles[c], ["q25", "median", "q75"])],
@@ -186,24 +186,24 @@ def describe_profile(df: DataFrame, cols: Sequence[str], scale: int = 2) -> Data
     return one.select(F.inline(F.array(*[F.col(c) for c in cols])))
 
 
-def stats(df: DataFrame, col: str, scale: int = 2) -> DataFrame:
-    return describe_profile(df, [col], scale)
+def stats(df: DataFrame, col: str) -> DataFrame:
+    return describe_profile(df, [col])
 
 
-def seasonality(df: DataFrame, date_col: str, amount: str, scale: int = 2) -> DataFrame:
+def seasonality(df: DataFrame, date_col: str, amount: str) -> DataFrame:
     """Mean, number and median of the amount per calendar month."""
     monthly = df.select(F.month(date_col).cast("long").alias("month"), F.col(amount))
     medians = group_quantiles(monthly, "month", list(range(1, 13)), amount, [0.5])
     known = {m: v[0] for m, v in medians.items() if v[0] is not None}
     out = monthly.groupBy("month").agg(
-        exact_mean(amount, scale).alias("mean"), F.count(amount).alias("size")
+        exact_mean(amount).alias("mean"), F.count(amount).alias("size")
     )
     lookup = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
     return out.withColumn("median", lookup[F.col("month")])
 
 
-def group_total(df: DataFrame, by: str, col: str, cond: Column, name: str, scale: int = 2) -> DataFrame:
-    return df.where(cond).groupBy(by).agg(exact_sum(col, scale).alias(name))
+def group_total(df: DataFrame, by: str, col: str, cond: Column, name: str) -> DataFrame:
+    return df.where(cond).groupBy(by).agg(exact_sum(col).alias(name))
 
 
 def shape(df: DataFrame) -> DataFrame:

@@ -74,12 +74,12 @@ def one_hot(
     return df.withColumns(made).drop(col)
 
 
-def rfm(gifts: DataFrame, id_col: str, amount: str, date_col: str, ref: date, scale: int = 2) -> list[Column]:
+def rfm(gifts: DataFrame, id_col: str, amount: str, date_col: str, ref: date) -> list[Column]:
     """Aggregates of one donor up to the reference date: amount bundle and days since the last gift."""
-    return [*bundle(amount, scale), days_between(F.max(date_col), F.lit(ref)).alias("recency_days")]
+    return [*bundle(amount), days_between(F.max(date_col), F.lit(ref)).alias("recency_days")]
 
 
-def window_features(amount: str, date_col: str, ref: date, scale: int = 2) -> list[Column]:
+def window_features(amount: str, date_col: str, ref: date) -> list[Column]:
     """Aggregates over the last month, the last year and the year before it, from the same rows."""
     month = F.add_months(F.lit(ref), -1)
     year1 = F.add_months(F.lit(ref), -12)
@@ -90,21 +90,21 @@ def window_features(amount: str, date_col: str, ref: date, scale: int = 2) -> li
     in_year2 = F.when((d >= year2) & (d < year1), a)
     count = lambda c: F.nullif(F.count(c), F.lit(0))  # noqa: E731  a period without gifts is missing, not 0
     return [
-        exact_mean(in_month, scale).alias("last_month_mean"),
-        exact_mean(in_year1, scale).alias("year1_mean"),
+        exact_mean(in_month).alias("last_month_mean"),
+        exact_mean(in_year1).alias("year1_mean"),
         count(in_year1).alias("year1_count"),
-        exact_mean(in_year2, scale).alias("year2_mean"),
+        exact_mean(in_year2).alias("year2_mean"),
         count(in_year2).alias("year2_count"),
     ]
 
 
 def gift_features(
-    gifts: DataFrame, id_col: str, amount: str, date_col: str, ref: date, scale: int = 2
+    gifts: DataFrame, id_col: str, amount: str, date_col: str, ref: date
 ) -> DataFrame:
     """All gift features of every donor in one aggregation and one shuffle."""
     known = gifts.where(F.col(date_col) <= F.lit(ref))
     return known.groupBy(id_col).agg(
-        *rfm(known, id_col, amount, date_col, ref, scale), *window_features(amount, date_col, ref, scale)
+        *rfm(known, id_col, amount, date_col, ref), *window_features(amount, date_col, ref)
     )
 
 

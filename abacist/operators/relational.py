@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abacist.functions.scalars import as_col, units
+from abacist.functions.scalars import as_col, exact_total
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -81,21 +81,25 @@ def flag_member(df: DataFrame, ids: DataFrame, on: str, name: str) -> DataFrame:
 
 
 def fanout_mean(
-    left: DataFrame, right: DataFrame, on: str, group: str, value: str, name: str, scale: int = 2
+    left: DataFrame, right: DataFrame, on: str, group: str, value: str, name: str
 ) -> DataFrame:
     """Mean of ``value`` by ``group`` over the many-to-many join, without building the join.
 
     Each right row counts once per matching left row. Both sides are collapsed per join key (left to
     a count, right to sum and count by group), so the product of the two multiplicities is never
-    emitted and a hot key costs one row per group.
+    emitted and a hot key costs one row per group. Whole and broken parts of a total are weighted
+    apart, so that both products fit a decimal without rounding.
     """
     weight = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("__w"))
     part = right.groupBy(on, group).agg(
-        F.sum(units(value, scale)).alias("__s"), F.count(F.col(value)).alias("__n")
+        exact_total(value).alias("__s"), F.count(F.col(value)).alias("__n")
     )
+    whole = F.floor("__s").cast("decimal(19,0)")
+    broken = (F.col("__s") - F.floor("__s")).cast("decimal(19,18)")
+    times = F.col("__w").cast("decimal(18,0)")
     return part.join(weight, on).groupBy(group).agg(
         F.try_divide(
-            F.sum(F.col("__s") * F.col("__w")).cast("double") / F.lit(float(10**scale)),
+            (F.sum(whole * times).cast("decimal(37,18)") + F.sum(broken * times).cast("decimal(37,18)")).cast("double"),
             F.sum(F.col("__n") * F.col("__w")),
         ).alias(name)
     )

@@ -25,10 +25,10 @@ GIFT_COLUMNS = ["max", "min", "mean", "sum", "count"]
 PERIODS = ["last_month_mean", "year1_mean", "year1_count", "year2_mean", "year2_count"]
 
 
-def gift_table(gifts: DataFrame, ref: date, scale: int = 2) -> DataFrame:
+def gift_table(gifts: DataFrame, ref: date) -> DataFrame:
     """Gift features, ratios and value segment per donor known at the reference date."""
-    overall = gifts.where(F.col("date") <= F.lit(ref)).agg(exact_mean("amount", scale)).scalar()
-    features = gift_features(gifts, "donorID", "amount", "date", ref, scale)
+    overall = gifts.where(F.col("date") <= F.lit(ref)).agg(exact_mean("amount")).scalar()
+    features = gift_features(gifts, "donorID", "amount", "date", ref)
     return ratios(features, RATIOS).withColumn("segment", segment("mean", "count", overall))
 
 
@@ -40,7 +40,7 @@ def campaign_targets(gifts: DataFrame, campaign: object) -> DataFrame:
 
 def donor_basetable(
     donors: DataFrame, gifts: DataFrame, selection: DataFrame, ref: date, campaign: object,
-    categories: Mapping[str, Sequence[str]], scale: int = 2, upper: float = 0.04,
+    categories: Mapping[str, Sequence[str]], upper: float = 0.04,
 ) -> DataFrame:
     """Every selected donor with features, dummies, cleaned numbers and the campaign target.
 
@@ -49,7 +49,7 @@ def donor_basetable(
     profile = donors.withColumn("age", age_in_years("dateOfBirth", F.lit(ref))).select("donorID", "age", *categories)
     base = (
         selection.select("donorID").distinct()
-        .join(gift_table(gifts, ref, scale), "donorID", "left")
+        .join(gift_table(gifts, ref), "donorID", "left")
         .join(profile, "donorID", "left")
     )
     base = one_hot(base, "segment", SEGMENTS, drop_first=True)

@@ -7,22 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.functions.scalars import exact_mean, exact_sum, safe_divide, units
+from abacist.functions.scalars import exact_mean, exact_sum, exact_total, safe_divide
 from abacist.operators.aggregates import freq_encode
 from abacist.operators.prep import bucket, fill_zero, label_at_least, null_flags
 from abacist.operators.relational import star_left
 
 
-def result_features(results: DataFrame, constructors: Sequence, scale: int = 2) -> DataFrame:
+def result_features(results: DataFrame, constructors: Sequence) -> DataFrame:
     """All result features and the constructor pivot of a driver in one aggregation.
 
     What would be six grouped tables joined on the driver is one pass with conditional counts.
     """
     return results.groupBy("driverId").agg(
-        exact_sum("points", scale).alias("TotalDriverPoints"),
-        F.round(exact_mean("laps", scale), 2).alias("avgLaps"),
-        F.round(exact_mean("milliseconds", scale), 2).alias("avgFinalTime"),
-        F.round(exact_mean("fastestLapSpeed", scale), 2).alias("avgFastestLapSpeed"),
+        exact_sum("points").alias("TotalDriverPoints"),
+        F.round(exact_mean("laps"), 2).alias("avgLaps"),
+        F.round(exact_mean("milliseconds"), 2).alias("avgFinalTime"),
+        F.round(exact_mean("fastestLapSpeed"), 2).alias("avgFastestLapSpeed"),
         F.count(F.when(F.col("statusId") == 1, F.col("raceId"))).alias("finishedRace"),
         F.count_if(F.col("fastestLapTime").isNull()).alias("fastestLapTime_NA"),
         F.count_if(F.col("milliseconds").isNull()).alias("finalMilliseconds_NA"),
@@ -32,34 +32,34 @@ def result_features(results: DataFrame, constructors: Sequence, scale: int = 2)
     )
 
 
-def pit_features(pit_stops: DataFrame, scale: int = 2) -> DataFrame:
+def pit_features(pit_stops: DataFrame) -> DataFrame:
     return pit_stops.groupBy("driverId").agg(
-        F.round(exact_mean("milliseconds", scale), 2).alias("avgPitStopDuration"), F.count("stop").alias("NbrOfStops")
+        F.round(exact_mean("milliseconds"), 2).alias("avgPitStopDuration"), F.count("stop").alias("NbrOfStops")
     )
 
 
-def lap_features(races: DataFrame, lap_times: DataFrame, year: int = 2018, scale: int = 2) -> DataFrame:
+def lap_features(races: DataFrame, lap_times: DataFrame, year: int = 2018) -> DataFrame:
     """Years since the driver's first race in the data and mean lap time.
 
     Laps are reduced per driver and race before the race year is joined on.
     """
     per_race = lap_times.groupBy("driverId", "raceId").agg(
-        F.sum(units("milliseconds", scale)).alias("ms"), F.count("milliseconds").alias("laps")
+        exact_total("milliseconds").alias("ms"), F.count("milliseconds").alias("laps")
     )
     return per_race.join(races.select("raceId", "year"), "raceId").groupBy("driverId").agg(
         F.max(F.lit(year) - F.col("year")).alias("raceYearDiff"),
-        safe_divide(F.sum("ms").cast("double") / F.lit(float(10**scale)), F.sum("laps")).alias("avgLapTime"),
+        safe_divide(F.sum("ms").cast("double"), F.sum("laps")).alias("avgLapTime"),
     )
 
 
 def driver_basetable(
     drivers: DataFrame, results: DataFrame, pit_stops: DataFrame, races: DataFrame, lap_times: DataFrame,
-    constructors: Sequence, year: int = 2018, scale: int = 2,
+    constructors: Sequence, year: int = 2018,
 ) -> DataFrame:
     base = freq_encode(drivers.withColumnRenamed("nationality", "driverNationality"), "driverNationality")
-    made = null_flags(result_features(results, constructors, scale), ["avgFinalTime", "avgFastestLapSpeed"])
+    made = null_flags(result_features(results, constructors), ["avgFinalTime", "avgFastestLapSpeed"])
     joined = star_left(
-        base, [pit_features(pit_stops, scale), lap_features(races, lap_times, year, scale), fill_zero(made)], "driverId"
+        base, [pit_features(pit_stops), lap_features(races, lap_times, year), fill_zero(made)], "driverId"
     )
     flagged = null_flags(joined, ["avgPitStopDuration", "NbrOfStops", "raceYearDiff", "avgLapTime"])
     late = ["avgPitStopDuration", "NbrOfStops", "raceYearDiff", "avgLapTime"]

@@ -192,8 +192,8 @@ def table_discovery(spark, sf):
 
 @query(
     "rolling_reload",
-    """WITH d AS (SELECT CAST(ts AS DATE) AS date, event_type AS country, event_id, value FROM events)
-    SELECT country, date, COUNT(*) AS rows, CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS value FROM
+    f"""WITH d AS (SELECT CAST(ts AS DATE) AS date, event_type AS country, event_id, value FROM events)
+    SELECT country, date, COUNT(*) AS rows, {sum_sql('value')} AS value FROM
     (SELECT * FROM d WHERE date < DATE '2024-01-20' OR date > DATE '2024-01-22'
      UNION ALL SELECT date, country, event_id, value + 1 FROM d WHERE date IN (DATE '2024-01-20', DATE '2024-01-22') AND country <> 'error')
     GROUP BY 1, 2""",

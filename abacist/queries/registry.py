@@ -31,10 +31,10 @@ def load(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
-def sum_sql(col: str, scale: int = 2) -> str:
-    """Exact sum of a decimal amount, as the library computes it."""
-    return f"CAST(SUM(CAST(ROUND({col} * {10**scale}) AS BIGINT)) AS DOUBLE) / {float(10**scale)}"
+def sum_sql(col: str) -> str:
+    """Exact sum of the numbers as printed; by way of text, as the casts between double and decimal round."""
+    return f"CAST(CAST(SUM(CAST(CAST({col} AS VARCHAR) AS DECIMAL(38, 18))) AS VARCHAR) AS DOUBLE)"
 
 
-def mean_sql(col: str, scale: int = 2) -> str:
-    return f"({sum_sql(col, scale)}) / NULLIF(COUNT({col}), 0)"
+def mean_sql(col: str) -> str:
+    return f"({sum_sql(col)}) / NULLIF(COUNT({col}), 0)"

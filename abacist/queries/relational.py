@@ -89,6 +89,16 @@ def remerge_sum(spark, sf):
     return A.remerge_sum(load(spark, sf, "part"), "p_name", ["p_type"], "p_size", "size_sum")
 
 
+@query(
+    "group_total_parts",
+    f"""SELECT event_type, {sum_sql('value / 7')} AS total FROM events WHERE value > 1 GROUP BY 1""",
+)
+def group_total_parts(spark, sf):
+    """Totals of numbers with more places than money has."""
+    events = load(spark, sf, "events").withColumn("part", F.col("value") / 7)
+    return A.group_total(events, "event_type", "part", F.col("value") > 1, "total")
+
+
 @query(
     "value_join",
     """WITH a AS (SELECT c_nationkey AS nation, COUNT(*) AS n FROM customer GROUP BY 1),
@@ -231,7 +241,7 @@ def running_total_propagate(spark, sf):
 
 
 def _running(spark, sf, nulls):
-    cents = F.when(F.col("o_orderpriority") != "3-MEDIUM", units("o_totalprice"))
+    cents = F.when(F.col("o_orderpriority") != "3-MEDIUM", units("o_totalprice", 2))
     orders = load(spark, sf, "orders", "o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority").withColumn("cents", cents)
     return W.running_total(orders, ["o_custkey"], ["o_orderkey"], "cents", "total", nulls).select(
         "o_custkey", "o_orderkey", "total"

@@ -64,6 +64,20 @@ def test_exact_sums_do_not_depend_on_order(frame):
     assert sums == {(60.0, 0.2)}
 
 
+def test_exact_sums_do_not_round_the_numbers(frame):
+    df = frame([(0.004, 218.385), (0.0049, 201.478), (0.003, -0.001)], "v double, speed double")
+    row = df.agg(S.exact_sum("v"), S.exact_mean("v"), S.exact_sum("speed")).first()
+    assert tuple(row) == (0.0119, 0.0119 / 3, 419.862)
+    profile = A.describe_profile(df, ["v"]).first()
+    assert profile["min"] <= profile["mean"] <= profile["max"]
+
+
+def test_fanout_mean_does_not_round_the_numbers(frame):
+    left = frame([("a",), ("a",), ("b",)], "k string")
+    right = frame([("a", "x", 0.004), ("b", "x", -0.0031), ("b", "y", None), ("a", "z", -1234567.125)], "k string, g string, v double")
+    assert values(P.fanout_mean(left, right, "k", "g", "v", "m"), "g", "m") == [("x", 0.0049 / 3), ("y", None), ("z", -1234567.125)]
+
+
 def test_null_and_unique_profiles(frame):
     df = frame([(1, "a"), (1, None), (None, "b")], "x int, t string")
     assert values(A.null_profile(df), "column", "missing") == [("t", 1), ("x", 1)]

@@ -4,9 +4,10 @@ A list of tokens is what the merges give for its bytes exactly when every two ne
 give the same two tokens for their joined bytes). So encoding is a path search: walk the trie of the
 tokens, and wherever a token ends that may follow the one before, also begin a new one. The transducer
 follows all such paths at once. A state holds each path's last token and its place in the trie; the
-tokens that are not certain yet are kept beside it. As soon as all paths come from one, its tokens are
-emitted. Paths die after at most the length of the longest token, which bounds the lookahead. States and steps are made
-when a text first needs them and kept up to half of ``MOST_WORDS``, then dropped and made anew.
+moves of the bytes whose tokens are not certain yet are kept beside it. Where all paths come from one and
+more than ``LOOKAHEAD`` bytes are kept, that one's tokens are read back and emitted. Paths die after at most the
+length of the longest token, which bounds what is kept. States and steps are made when a text first needs them
+and kept up to half of ``MOST_WORDS``, then dropped and made anew.
 
 Decoding joins the tokens' bytes chunk by chunk and turns them into text with an incremental UTF-8
 decoder, which carries the bytes of an unfinished character to the next chunk.
@@ -34,6 +35,8 @@ MOST_WORDS = 200_000
 """Remembered short texts with their ids; the transducer's own memories are bounded in proportion."""
 WIDE_SPACE = re.compile(r" \s|\s |^ | $")
 MOST_BELOW = 40
+LOOKAHEAD = 64
+"""Bytes kept before certain tokens are emitted."""
 CHUNK = 4096
 ROOT = 0
 
@@ -178,31 +181,34 @@ class Transducer:
         if len(self.states) > self.most_states:
             self.forget()
         out: list[int] = []
-        state, steps, pending = self.start, self.steps, [None]  # per path its tokens as (tokens before, token)
+        trail: list[tuple] = []  # the moves of the bytes whose tokens are not emitted yet
+        state, steps = self.start, self.steps
         for byte in data:
-            state, sure, moves = steps.get(state << 8 | byte) or self.step(state, byte)
-            if sure >= 0:
-                if pending[sure]:
-                    out += in_order(pending[sure])
-                pending = [None if token < 0 else (None, token) for _, token in moves]
-            else:
-                pending = [pending[source] if token < 0 else (pending[source], token) for source, token in moves]
-            if state > self.most_states:  # inside a long piece: go on from this state in an empty memory
-                kept = self.states[state]
-                self.forget()
-                state, steps = self.state_number(kept), self.steps
-        ends = [p for p, (_, node) in zip(pending, self.states[state]) if node == ROOT]
+            step = steps.get(state << 8 | byte)
+            if step is None:
+                step = self.step(state, byte)
+                if step[0] > self.most_states:  # go on from this state in an empty memory
+                    kept = self.states[step[0]]
+                    self.forget()
+                    step, steps = (self.state_number(kept), *step[1:]), self.steps
+            state, sure, moves = step
+            if len(trail) > LOOKAHEAD and sure >= 0:
+                out += tokens_to(trail, sure)
+                trail = []
+            trail.append(moves)
+        ends = [i for i, (_, node) in enumerate(self.states[state]) if node == ROOT]
         if len(ends) != 1:
             raise ValueError("the ranks do not give one encoding")
-        out += in_order(ends[0])
-        return out
+        return out + tokens_to(trail, ends[0])
 
 
-def in_order(tokens: tuple | None) -> list[int]:
+def tokens_to(trail: list[tuple], path: int) -> list[int]:
+    """The tokens of the path that is at this place of its state after all moves of the trail."""
     found = []
-    while tokens:
-        tokens, token = tokens
-        found.append(token)
+    for moves in reversed(trail):
+        path, token = moves[path]
+        if token >= 0:
+            found.append(token)
     return found[::-1]
 
 

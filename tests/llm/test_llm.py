@@ -259,6 +259,54 @@ def test_fingerprints_and_edited_texts(documents, nothing):
     assert marks[4] == marks[5] and marks[0] == marks[1] == "" and fingerprints.edited_fingerprints(nothing).count() == 0
 
 
+def brute_anchors(spark, symbols):
+    """(hash, place) of every closed syncmer; Spark only hashes."""
+    k, w = fingerprints.K, fingerprints.K - fingerprints.S
+    h = [F.xxhash64(f"c{j}") for j in range(k)]
+    rows = [(i, *symbols[i:i + k]) for i in range(len(symbols) - k + 1)]
+    grams = spark.createDataFrame(rows, "place int, " + ", ".join(f"c{j} string" for j in range(k)))
+    inner = F.array(*[F.xxhash64(h[j], h[j + 1]) for j in range(w + 1)])
+    rows = grams.select("place", F.xxhash64(*h).alias("hash"), inner.alias("inner")).orderBy("place").collect()
+    return [(r.hash, r.place) for r in rows if min(r.inner) in (r.inner[0], r.inner[w])]
+
+
+def brute_match(a, b):
+    """Likeness and longest passage: the n-th anchor with a hash matches the n-th on the other side."""
+
+    def places(anchors):
+        seen, out = Counter(), {}
+        for h, i in anchors:
+            out[h, seen[h]] = i
+            seen[h] += 1
+        return out
+
+    a, b = places(a), places(b)
+    shared = sorted((a[x], b[x] - a[x]) for x in a.keys() & b.keys())
+    best = start = 0
+    for n, (i, shift) in enumerate(shared):
+        if n == 0 or shared[n - 1][1] != shift or i - shared[n - 1][0] > fingerprints.K - fingerprints.S:
+            start = i
+        best = max(best, i + fingerprints.K - start)
+    return 2 * len(shared) / (len(a) + len(b)), best
+
+
+def test_fingerprints_keep_every_anchor_with_its_place(spark):
+    shared = [f"s{i}" for i in range(54)]
+    texts = {3: [f"a{i}" for i in range(4000)] + shared + [f"a{i}" for i in range(4000, 8000)],
+             2: [f"b{i}" for i in range(1500)] + shared + [f"b{i}" for i in range(1500, 3000)],
+             1: "x y z y x z".split() * 100}
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprints.edited_fingerprints(frame).collect()}
+    marks = {i: brute_anchors(spark, w) for i, w in texts.items()}
+    for i, m in marks.items():
+        assert got[i].fingerprint == "".join(f"{h % 2**64:016X}{at:08X}" for h, at in m)
+        n = len(" ".join(texts[i])) // 3
+        edited = " ".join(texts[i])[:-n] + " ".join(texts[i - 1 or 3])[:n]
+        assert (got[i].near_edited, got[i].passage_edited) == brute_match(m, brute_anchors(spark, edited.split()))
+        assert (got[i].near_next, got[i].passage_next) == brute_match(m, marks[i - 1 or 3])
+    assert len(marks[3]) > 64 and 48 <= got[3].passage_next <= 54 and got[3].near_next > 0
+
+
 def test_pipeline_runs_to_the_end(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids"] and 0 < out.count() <= 600

@@ -307,6 +307,20 @@ def test_fingerprints_keep_every_anchor_with_its_place(spark):
     assert len(marks[3]) > 64 and 48 <= got[3].passage_next <= 54 and got[3].near_next > 0
 
 
+def test_fingerprints_of_few_and_of_more_words_are_compared_alike(spark):
+    words = [f"word{i}" for i in range(40)]
+    long_start = "y" * 200 + " end"
+    texts = {9: " ".join(words[:31]), 8: " ".join(words[:32]), 7: " ".join(words[:33]), 6: long_start, 5: "one two three four", 4: "one two three"}
+    got = {r.doc_id: r for r in fingerprints.edited_fingerprints(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got[9].near_next > 0.9 and got[8].near_next > 0.9
+    n = len(texts[7]) // 3
+    assert len((texts[7][:-n] + long_start[:n]).split()) < fingerprints.FEW <= len(texts[7].split())
+    assert 0.5 < got[7].near_edited < 1 and got[5].near_next > 0.5
+    letters = lambda i: brute_anchors(spark, list(texts[i]))
+    assert (got[9].near_next, got[9].passage_next) == brute_match(letters(9), letters(8))
+    assert all(r.fingerprint for r in got.values())
+
+
 def test_pipeline_runs_to_the_end(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids"] and 0 < out.count() <= 600

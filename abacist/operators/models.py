@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import RFormula, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AT_ONCE = 4
@@ -59,24 +59,35 @@ def poisson_rate(df: DataFrame, model: Model, x: str) -> DataFrame:
     return df.agg(F.avg(F.exp(F.lit(float(model.intercept)) + F.lit(float(model.coefficients[0])) * F.col(x))).alias("rate"))
 
 
+def lacks(col: str = "features") -> Column:
+    """Whether a feature vector is null or has a missing number."""
+    return F.col(col).isNull() | F.exists(vector_to_array(col), F.isnan)
+
+
+def complete(rows: DataFrame, col: str = "features") -> DataFrame:
+    """The same rows; one without all its features stops the job."""
+    stop = F.raise_error(F.lit(f"missing values in {col}: impute them, or only score such rows"))
+    return rows.where(F.when(lacks(col), stop).otherwise(F.lit(True)))
+
+
 def by_formula(formula: str, train: DataFrame, *others: DataFrame) -> list[DataFrame]:
-    """Features and label of an R formula, learned on the training rows only."""
-    model = RFormula(formula=formula, handleInvalid="skip").fit(train)
+    """Features and label of an R formula, learned on the training rows only. Missing values and new categories raise."""
+    model = RFormula(formula=formula, handleInvalid="error").fit(train)
     return [model.transform(d) for d in (train, *others)]
 
 
 def assemble(cols: Sequence[str], label: str | None = None, indexed: Sequence[str] = ()) -> Pipeline:
-    """Stages that index text columns and the label and assemble the feature vector."""
+    """Stages that index text columns and the label and assemble the feature vector; no row is left out."""
     stages = [StringIndexer(inputCol=c, outputCol=c + "_ix", handleInvalid="keep") for c in indexed]
     if label:
-        stages.append(StringIndexer(inputCol=label, outputCol="label", handleInvalid="skip"))
+        stages.append(StringIndexer(inputCol=label, outputCol="label", handleInvalid="error"))
     inputs = [*cols, *[c + "_ix" for c in indexed]]
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip")])
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")])
 
 
 def features_of(df: DataFrame, cols: Sequence[str], label: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """Feature vector of numeric columns, with label and kept columns only."""
-    out = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip").transform(df)
+    """Feature vector of numeric columns, with label and kept columns only. Missing numbers are NaN: no row is left out."""
+    out = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep").transform(df)
     labels = [F.col(label).cast("double").alias("label")] if label else []
     return out.select(*keep, *labels, "features")
 
@@ -92,14 +103,14 @@ def cross_validate(est: Estimator, options: Mapping[str, Sequence], evaluator, t
     return CrossValidator(
         estimator=est, estimatorParamMaps=grid(est, options), evaluator=evaluator, numFolds=folds,
         parallelism=AT_ONCE, seed=seed,
-    ).fit(train)
+    ).fit(complete(train))
 
 
 def train_validation(est: Estimator, options: Mapping[str, Sequence], evaluator, train: DataFrame, ratio: float = 0.75, seed: int = 42):
     return TrainValidationSplit(
         estimator=est, estimatorParamMaps=grid(est, options), evaluator=evaluator, trainRatio=ratio,
         parallelism=AT_ONCE, seed=seed,
-    ).fit(train)
+    ).fit(complete(train))
 
 
 def cv_results(fitted, options: Mapping[str, Sequence], spark) -> DataFrame:
@@ -114,7 +125,7 @@ def cv_results(fitted, options: Mapping[str, Sequence], spark) -> DataFrame:
 
 def fit(est: Estimator, rows: DataFrame) -> Model:
     """Fit on cached label and features: a fit passes over its rows many times."""
-    rows = rows.select("label", "features").cache()
+    rows = complete(rows.select("label", "features")).cache()
     try:
         return est.fit(rows)
     finally:
@@ -125,6 +136,7 @@ def score(model: Model, df: DataFrame, threshold: float = 0.5, name: str = "prob
     """Probability of class 1 and the prediction at the threshold.
 
     A model without probabilities gives its raw margin, and a regression gives its prediction.
+    A row without all its features stays, with null for both.
     """
     out = model.transform(df)
     if "probability" in out.columns:
@@ -133,6 +145,8 @@ def score(model: Model, df: DataFrame, threshold: float = 0.5, name: str = "prob
         p, threshold = vector_to_array("rawPrediction")[1], 0.0
     else:
         p = F.col("prediction")
+    if "features" in out.columns:
+        p = F.when(~lacks(), p)
     return out.withColumn(name, p).withColumn("predicted", (F.col(name) > threshold).cast("int"))
 
 
@@ -171,7 +185,7 @@ def _auc(model: Model, df: DataFrame) -> float:
 
 def compare_models(zoo: Mapping[str, Estimator], train: DataFrame, test: DataFrame) -> DataFrame:
     """Fit every estimator on the same cached rows; accuracy and area under ROC on the test rows."""
-    train, test = train.cache(), test.cache()
+    train, test = complete(train).cache(), complete(test).cache()
     try:
         def one(item):
             name, est = item
@@ -191,7 +205,7 @@ def compare_models(zoo: Mapping[str, Estimator], train: DataFrame, test: DataFra
 def _try_features(est: Estimator, train: DataFrame, test: DataFrame, target: str, chosen: Sequence[str]):
     a, b = features_of(train, chosen, target), features_of(test, chosen, target)
     model = fit(est, a)
-    return _auc(model, a), _auc(model, b)
+    return _auc(model, complete(a)), _auc(model, complete(b))
 
 
 def stepwise(

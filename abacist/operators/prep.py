@@ -153,10 +153,10 @@ def interact(a: str, b: str) -> Column:
 
 
 def select_by_corr(df: DataFrame, target: str, candidates: Sequence[str], p_below: float) -> list[str]:
-    """Candidates whose linear correlation with the target has a p-value below the bound."""
+    """Candidates whose linear correlation with the target has a p-value below the bound. Missing values raise."""
     from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
 
-    rows = VectorAssembler(inputCols=list(candidates), outputCol="features", handleInvalid="skip").transform(
+    rows = VectorAssembler(inputCols=list(candidates), outputCol="features", handleInvalid="error").transform(
         df.select(F.col(target).cast("double").alias("label"), *candidates)
     )
     selector = UnivariateFeatureSelector(
@@ -166,14 +166,20 @@ def select_by_corr(df: DataFrame, target: str, candidates: Sequence[str], p_belo
 
 
 def scale_features(train: DataFrame, others: Sequence[DataFrame], cols: Sequence[str], kind: str) -> list[DataFrame]:
-    """Standardise or min-max scale an assembled vector; fitted on the training rows only."""
+    """Standardise or min-max scale an assembled vector; fitted on the training rows only.
+
+    Missing numbers raise in training rows and stay missing in the others.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
 
     scalers = {
         "standard": StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
         "minmax": MinMaxScaler(inputCol="raw_features", outputCol="features"),
     }
-    assembler = VectorAssembler(inputCols=list(cols), outputCol="raw_features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=list(cols), outputCol="raw_features", handleInvalid="keep")
+    VectorAssembler(inputCols=list(cols), outputCol="raw_features", handleInvalid="error").transform(train).select(
+        F.sum(F.size(vector_to_array("raw_features")))).first()
     model = Pipeline(stages=[assembler, scalers[kind]]).fit(train)
     return [model.transform(d).drop("raw_features") for d in (train, *others)]

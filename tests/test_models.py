@@ -10,6 +10,7 @@ from abacist.operators import credit as C
 from abacist.operators import evaluate as E
 from abacist.operators import models as M
 from abacist.operators import neighbors as N
+from abacist.operators import prep as P
 from abacist.operators import survival as S
 
 BLOCKS = dict(group_limit=1, parts=4)
@@ -215,3 +216,24 @@ def test_poisson_rate(frame):
     df = frame([(x, 2 + x) for x in range(1, 11)], "x int, y int")
     model = M.poisson().fit(M.features_of(df, ["x"], "y"))
     assert M.poisson_rate(df, model, "x").first()["rate"] == pytest.approx(7.5, rel=1e-3)
+
+
+def test_rows_with_missing_features_are_scored_as_null_and_never_learned_from(frame):
+    rows = [(i, float(i % 7), float(i % 5) if i % 10 else None, i % 2) for i in range(60)]
+    df = frame(rows, "id int, a double, b double, y int")
+    known = df.where("b is not null")
+    model = M.fit(M.logistic(), M.features_of(known, ["a", "b"], "y"))
+    scored = M.score(model, M.features_of(df, ["a", "b"], keep=["id"])).collect()
+    assert sorted(r["id"] for r in scored) == list(range(60))
+    assert {r["id"] for r in scored if r["prob"] is None and r["predicted"] is None} == {0, 10, 20, 30, 40, 50}
+    prepared = M.assemble(["a", "b"], "y").fit(known).transform(df)
+    assert prepared.count() == 60 and M.score(model, prepared).where("prob is null").count() == 6
+    scaled = P.scale_features(known, [df], ["a", "b"], "standard")[1]
+    assert scaled.count() == 60
+    whole = M.features_of(df, ["a", "b"], "y")
+    for job in (lambda: M.fit(M.logistic(), whole), lambda: M.by_formula("y ~ a + b", df)[0].collect(),
+                lambda: M.compare_models({"tree": M.tree()}, M.features_of(known, ["a", "b"], "y"), whole).collect(),
+                lambda: P.select_by_corr(df, "y", ["a", "b"], 0.5), lambda: P.scale_features(df, [], ["a", "b"], "standard"),
+                lambda: M.stepwise(known, df, ["a", "b"], "y", M.logistic()).collect()):
+        with pytest.raises(Exception, match="(?i)missing values|null|nan"):
+            job()

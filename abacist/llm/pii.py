@@ -8,8 +8,9 @@ letters of the same case, digits into digits, other signs stay; dates become dat
 2099, addresses stay addresses, and check digits are computed anew. The same value gets the same
 pseudonym in every document, however it is spaced, and different values get different ones.
 
-A run of 13 to 19 digits that fails the card check is an account number of unknown kind and is
-permuted without a check digit.
+An account number has the length that its country gives. Of a run of 13 to 19 digits the longest part
+from its start, up to a space or dash, that passes the card check is a card, and the search goes on behind it. A run
+without such a part is an account number of unknown kind and is permuted without a check digit.
 
 Only DataFrame functions are used, no row is moved. Defined cases: null text stays null; text without
 personal data stays as it is, to the character; invalid dates stay.
@@ -33,19 +34,38 @@ EMAIL = r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8
 ADDRESS = rf"{OCTET}(?:\.{OCTET}){{3}}"
 ISO_DATE = r"(?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,2}"
 DATE = r"[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2}"
-IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+# Length of an account by country, from the registry of IBANs.
+LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def account(length: int, countries: str) -> str:
+    fours, rest = divmod(length - 4, 4)
+    return (f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else ""))
+
+
+LISTED = "|".join(LENGTHS.values()).replace(" ", "|")
+IBAN = "(?:" + "|".join([account(*x) for x in LENGTHS.items()] + [
+    rf"(?!{LISTED})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"]) + ")"
 SOCIAL = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 NUMBER = r"[0-9](?:[ -]?[0-9]){12,18}"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}"
 PLAIN_PHONE = r"\+[0-9]{8,15}"
 AFTER = r"(?![0-9A-Za-z]|[.-][0-9])"
+AFTER_DATE = r"(?!(?!T[0-9]{2})[0-9A-Za-z]|[.-][0-9])"
 ANY = "|".join([
     rf"(?<![A-Za-z0-9._%+-]){EMAIL}",
-    rf"(?<![0-9A-Za-z])(?<![0-9][.-])(?:{ADDRESS}|{ISO_DATE}|{DATE}|{SOCIAL}){AFTER}",
+    rf"(?<![0-9A-Za-z])(?<![0-9][.-])(?:(?:{ISO_DATE}|{DATE}){AFTER_DATE}|(?:{ADDRESS}|{SOCIAL}){AFTER})",
     rf"(?<![0-9A-Za-z]){IBAN}(?![0-9A-Za-z])",
     rf"(?<![0-9A-Za-z])(?<![0-9][.-]){NUMBER}{AFTER}",
     rf"(?<![0-9A-Za-z+])(?:{PHONE}|{PLAIN_PHONE}){AFTER}",
 ])
+CARD_END = "\x02\x03\x03\x02\x03\x02"
+"""Stands for a while behind a card that other digits follow."""
 MAYBE = r"@|[0-9][0-9 .()/-]*[0-9]"
 KINDS = ("email", "address", "date", "iban", "social", "number", "phone")
 # Days of the years 1900 to 2099, as a product.
@@ -250,9 +270,35 @@ def pseudonym(m: Column, key: str) -> Column:
     return out
 
 
+def card_length(m: Column) -> Column:
+    """Length of the longest part of a number, up to a space or dash in it, that is a card; null if there is none
+    or the whole number is a card."""
+    def ends(j: Column) -> Column:
+        d = plain(F.substr(m, F.lit(1), j))
+        return F.substr(m, j + 1, F.lit(1)).isin(" ", "-") & (F.length(d) >= 13) & (luhn(d) % 10 == 0)
+
+    at = F.filter(F.sequence(F.length(m) - 1, F.lit(12), F.lit(-1)), ends)
+    return F.when((F.length(m) > 14) & m.rlike("[ -]") & m.rlike(whole(NUMBER)) & (luhn(plain(m)) % 10 != 0), F.get(at, F.lit(0)))
+
+
+def parted(text: Column, matches: Column) -> Column:
+    """The text with ``CARD_END`` between a card and digits that only follow it."""
+    cut = F.transform(matches, card_length)
+
+    def marked(m: Column, n: Column) -> Column:
+        return F.when(n.isNull(), m).otherwise(F.concat(F.substr(m, F.lit(1), n), F.lit(CARD_END), F.substr(m, n + 1, F.length(m))))
+
+    return let(cut, lambda c: F.when(F.exists(c, lambda n: n.isNotNull()) & ~F.contains(text, F.lit(CARD_END)),
+                                     joined(text, F.zip_with(matches, c, marked))).otherwise(text))
+
+
 def rewritten(text: Column, matches: Column, key: str) -> Column:
+    return joined(text, F.transform(matches, lambda m: pseudonym(m, key)))
+
+
+def joined(text: Column, new: Column) -> Column:
+    """The text with other values in place of its matches."""
     between = F.split(text, ANY, -1)
-    new = F.transform(matches, lambda m: pseudonym(m, key))
     return let(between, lambda p: F.concat(p[0], F.array_join(F.zip_with(
         new, F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), lambda m, rest: F.concat(m, rest)), "")))
 
@@ -262,9 +308,14 @@ def pseudonymise(documents: DataFrame, key: str = KEY, counts: bool = False) ->
     ``counts`` also the number of matches of each kind."""
     names = documents.columns
     text = F.col("text")
-    found = F.when(text.rlike(MAYBE), F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), text, found.alias("__found"))
-    new = F.when(F.size("__found") > 0, rewritten(text, F.col("__found"), key)).otherwise(text)
+    found = lambda t: F.regexp_extract_all(t, F.lit(ANY), F.lit(0))
+    first = F.when(text.rlike(MAYBE), found(text)).otherwise(F.array().cast("array<string>"))
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), text, first.alias("__first"))
+    rows = rows.withColumn("__parted", F.when(F.size("__first") > 0, parted(text, F.col("__first"))).otherwise(text))
+    again = F.col("__parted") != text
+    rows = rows.withColumn("__found", F.when(again, found(F.col("__parted"))).otherwise(F.col("__first")))
+    new = F.when(F.size("__found") > 0, rewritten(F.col("__parted"), F.col("__found"), key)).otherwise(text)
+    new = F.when(again, F.replace(new, F.lit(CARD_END), F.lit(""))).otherwise(new)
     rows = rows.select("__row", "__found", new.alias("text"))
     out = []
     for c in names:

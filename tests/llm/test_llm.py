@@ -142,6 +142,20 @@ def test_pseudonyms_keep_formats_and_links(documents, nothing, spark):
     assert pii.pseudonymise(documents).columns == documents.columns and pii.pseudonymise(nothing, counts=True).count() == 0
 
 
+def test_pseudonyms_end_where_the_value_ends(spark):
+    card, be, es = "4111 1111 1111 1111", "BE68 5390 0754 7034", "ES9121000418450200051332"
+    texts = [card, f"{card} 123", f"{card} 555 123-4567 x", be, f"{be} OK", es, f"{es} 2024", "2024-01-15", "at 2024-01-15T10:00", "2024-01-15Text",
+             "1234 5678 9012 3450 789"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.pseudonymise(frame, counts=True).orderBy("doc_id").collect()
+    out = [r.text for r in rows]
+    assert out[0] != card and out[1] == f"{out[0]} 123"
+    assert out[2].startswith(out[0] + " ") and "555 123-4567" not in out[2] and rows[2].n_number == rows[2].n_phone == 1
+    assert out[3] != be and out[4] == f"{out[3]} OK" and out[5] != es and out[6] == f"{out[5]} 2024"
+    assert rows[4].n_iban == rows[6].n_iban == 1 and out[8] == f"at {out[7]}T10:00" and out[7] != texts[7] and out[9] == texts[9]
+    assert out[10] != texts[10] and [len(x) for x in out] == [len(x) for x in texts] and not any("\x02" in x for x in out)
+
+
 def test_pair_permutation_is_one_to_one(spark):
     pairs = spark.range(17 * 50).select(pii.permuted_pair(F.floor(F.col("id") / 50), F.col("id") % 50, 17, 50, "t", "k").alias("p"))
     assert pairs.distinct().count() == 17 * 50

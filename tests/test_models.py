@@ -237,3 +237,10 @@ def test_rows_with_missing_features_are_scored_as_null_and_never_learned_from(fr
                 lambda: M.stepwise(known, df, ["a", "b"], "y", M.logistic()).collect()):
         with pytest.raises(Exception, match="(?i)missing values|null|nan"):
             job()
+
+
+def test_next_best_orders_all_five_variables(spark):
+    from abacist.queries import QUERIES
+
+    rows = QUERIES["next_best"](spark, "/root/testdata/sf0.001").orderBy("step").collect()
+    assert [r["step"] for r in rows] == [1, 2, 3, 4, 5] and len({r["variable"] for r in rows}) == 5

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import bpe, fingerprints, jaccard_join, language, mixing, pii, quality, secrets, topk_search, url_filter
+from abacist.llm import bpe, fingerprints, jaccard_join, language, line_dedup, mixing, pii, quality, secrets, topk_search, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,3 +148,29 @@ def op9_byte_bpe(spark, sf_dir):
 @query
 def op10_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_line_dedup(spark, sf_dir):
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLES["op13_line_dedup"] = f"""
+WITH split AS (
+  SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+cut AS (
+  SELECT row, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{url_filter.UPPER}', '{url_filter.LOWER}') AS key
+  FROM cut),
+repeated AS (
+  SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= {line_dedup.LEAST_CHARS}
+  GROUP BY key HAVING count(DISTINCT row) >= {line_dedup.LEAST_DOCS}),
+marked AS (
+  SELECT k.row, k.doc_id, k.line, k.i, r.key IS NOT NULL AND k.doc_id IS DISTINCT FROM r.holder AS gone
+  FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY row
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import bpe, fingerprints, jaccard_join, language, line_dedup, mixing, pii, quality, secrets, topk_search, url_filter
+from abacist.llm import bpe, fingerprints, jaccard_join, language, line_dedup, mixing, pii, quality, ranked_search, secrets, topk_search, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,6 +150,41 @@ def op10_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+TERM_SQL = ranked_search.TERM.pattern
+ORACLES["op12_ranked_search"] = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(text, '{url_filter.UPPER}', '{url_filter.LOWER}'), '{TERM_SQL}') AS terms FROM documents),
+sizes AS (SELECT row, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+items AS (
+  SELECT row_number() OVER () AS item, item_id,
+    regexp_extract_all(translate(text, '{url_filter.UPPER}', '{url_filter.LOWER}'), '{TERM_SQL}') AS terms FROM benchmark),
+asked AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(terms) AS term FROM items) GROUP BY ALL),
+held AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals GROUP BY term),
+impacts AS (
+  SELECT h.row, s.doc_id, h.term, w.w * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (25 + (75 * s.n * t.n_docs) // t.n_terms))) AS impact
+  FROM held h JOIN sizes s USING (row) JOIN weights w USING (term), totals t),
+scored AS (
+  SELECT item, any_value(item_id) AS item_id, row, any_value(doc_id) AS doc_id, CAST(sum(times * impact) AS BIGINT) AS score
+  FROM asked JOIN impacts USING (term) GROUP BY item, row),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST) AS INTEGER) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {ranked_search.K}
+"""
+
+
 @query
 def op13_line_dedup(spark, sf_dir):
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))

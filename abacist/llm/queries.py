@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacist.llm import bpe, fingerprints, jaccard_join, language, line_dedup, mixing, pii, quality, ranked_search, secrets, topk_search, url_filter
+from abacist.llm import bpe, fingerprints, jaccard_join, language, line_dedup, mixing, pii, quality, ranked_search, secrets, spelling, topk_search, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,6 +150,54 @@ def op10_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+CRC_SQL = "CASE WHEN {x} % 2 = 1 THEN xor({x} >> 1, 3988292384) ELSE {x} >> 1 END"
+ORACLES["op11_spelling_variants"] = f"""
+WITH RECURSIVE
+bytes AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda x, step: {CRC_SQL.format(x='x')}) ORDER BY i) AS crc
+  FROM range(256) t(i)),
+runs AS (
+  SELECT row, doc_id, run, count(*) AS n FROM (
+    SELECT row_number() OVER () AS row, doc_id,
+      unnest(regexp_extract_all(translate(text, '{url_filter.UPPER}', '{url_filter.LOWER}'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY ALL),
+spelled AS (
+  SELECT run, n, doc_id || ':' || run AS name, list_transform(string_split(doc_id || ':' || run, ''), lambda c: ord(c)) AS points FROM runs),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, flatten(list_transform(points, lambda p: CASE WHEN p < 128 THEN [p] ELSE [195, p - 64] END))),
+    lambda h, b: xor(h >> 8, bytes.crc[xor(h & 255, b) + 1]))) AS h
+  FROM spelled, bytes),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= {spelling.LEAST_CHARS} GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+counted AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form, max(other_n) AS form_n FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form,
+    CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM words w LEFT JOIN counted USING (word)),
+chain AS (
+  SELECT word, coalesce(form, word) AS top, form IS NULL AS done FROM formed
+  UNION ALL
+  SELECT c.word, coalesce(f.form, c.top), f.form IS NULL FROM chain c JOIN formed f ON f.word = c.top WHERE NOT c.done)
+SELECT f.word, form, top AS root, n, n_near, form_n FROM formed f JOIN chain c ON c.word = f.word AND c.done
+"""
+
+
 @query
 def op12_ranked_search(spark, sf_dir):
     return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

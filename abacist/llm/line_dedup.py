@@ -243,8 +243,8 @@ class LineIndex:
     def dropped(self) -> DataFrame:
         """(doc_id, text_key, lines): places of the lines that go."""
         hits = materialise(self.possible().select("hi", "lo", "doc_id", "text_key", "line"))
-        known = self.repeated().select("hi", "lo")
-        holder = materialise(hits.join(known, ["hi", "lo"]).groupBy("hi", "lo").agg(F.max("doc_id").alias("holder")))
+        holder = hits.groupBy("hi", "lo").agg(F.max("doc_id").alias("holder"))
+        holder = materialise(holder.join(self.repeated().select("hi", "lo"), ["hi", "lo"]))
         gone = hits.join(holder, ["hi", "lo"]).where(~F.col("doc_id").eqNullSafe(F.col("holder")))
         return gone.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines"))
 

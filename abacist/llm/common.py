@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 SPACES = r"\x20\x09-\x0D"
 SLICE = 1000
@@ -24,6 +27,19 @@ def per_batch(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
+def per_slice(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """Apply a function from a slice of an Arrow batch to a list of columns; a worker holds one slice as Python objects."""
+    types = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE // 2):
+                columns = fn(batch.slice(i, SLICE // 2))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, types)], schema=types)
+
+    return df.mapInArrow(run, schema)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it in ``body``, inside one expression."""
     return F.transform(F.array(value), body)[0]

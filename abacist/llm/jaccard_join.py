@@ -3,8 +3,9 @@
 1. Every text becomes its set of hashed 5-grams. Texts with equal sets form a class; classes are what is
    compared from here on, so any number of copies costs one row.
 2. A signature of ``BANDS * ROWS`` minima (one permutation, empty bins take the next full bin's value)
-   is cut into bands. Classes that agree on a band are joined to the smallest class of that bucket,
-   never pair by pair, and connected components of these edges bound where links can be.
+   is cut into bands. Classes that agree on a band meet in the smallest class of that bucket,
+   never pair by pair: a class is joined to the smallest of its buckets' heads, and that one to the other heads.
+   Connected components of these edges bound where links can be.
 3. Components are compared in blocks: every pair of blocks is one task of bounded size. Within it
    signatures are compared ``STEP`` values at a time. After n values with m agreements the similarity has
    the posterior Beta(m + 1, n - m + 1) under a flat prior; a pair is dropped once the posterior
@@ -29,11 +30,12 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.common import per_batch
+from abacist.llm.common import per_batch, per_slice
 from abacist.llm.components import components
 from abacist.llm.url_filter import BITS_PER_KEY, BROADCAST_BYTES, bit_of, block_of, bloom_filter
 from abacist.llm.url_filter import WORDS as FILTER_WORDS
@@ -128,19 +130,17 @@ def compared(found: np.ndarray) -> bytes:
 def sketched(texts: DataFrame) -> DataFrame:
     """(text_key, class_key, n_grams, signature, bands) of texts with words."""
 
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
+    def run(batch: pa.RecordBatch) -> list:
         rows, values = [], []
-        for key, text in zip(batch["text_key"], batch["text"]):
+        for key, text in zip(*(batch.column(c).to_pylist() for c in ("text_key", "text"))):
             found = grams(text)
             if len(found):
                 values.append(signature(found))
                 rows.append((key, xxhash.xxh128_hexdigest(found.tobytes()), len(found), compared(found)))
-        out = pd.DataFrame(rows, columns=["text_key", "class_key", "n_grams", "signature"])
-        found = [b for i in range(0, len(values), 500) for b in bands(np.stack(values[i:i + 500]))]
-        out["bands"] = pd.Series(found, dtype=object)
-        return out
+        HASHES.clear()
+        return [*(list(c) for c in zip(*rows)), list(bands(np.stack(values)))] if rows else [[]] * 5
 
-    return per_batch(texts, run, "text_key string, class_key string, n_grams long, signature binary, bands array<long>")
+    return per_slice(texts, run, "text_key string, class_key string, n_grams long, signature binary, bands array<long>")
 
 
 @lru_cache(maxsize=None)
@@ -288,8 +288,10 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     keyed = materialise(sketches.drop("class_key").join(classes.select("node", "copies", "text_key"), "text_key"))
     buckets = keyed.select("node", F.explode("bands").alias("band"))
     heads = buckets.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    edges = buckets.join(heads, "band").where(F.col("node") != F.col("head")).select(
-        F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    own = buckets.join(heads, "band").groupBy("node").agg(F.sort_array(F.collect_set("head")).alias("heads"))  # at most BANDS
+    first = F.col("heads")[0]
+    pairs = F.transform(F.col("heads"), lambda h: F.struct(F.when(h == first, F.col("node")).otherwise(h).alias("a"), first.alias("b")))
+    edges = own.select(F.explode(pairs).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
     bounded = components(edges).withColumnsRenamed({"node": "n", "root": "component"})
     members = materialise(keyed.drop("bands").join(bounded, F.col("node") == F.col("n")).drop("n"))
 

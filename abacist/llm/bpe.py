@@ -26,10 +26,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from abacist.llm.common import per_batch
+from abacist.llm.common import per_batch, per_slice
 
 MOST_WORDS = 200_000
 """Remembered short texts with their ids; the transducer's own memories are bounded in proportion."""
@@ -271,6 +272,13 @@ class Codec:
             yield decoder.decode(b"".join(map(self.bytes_of.__getitem__, ids[i:i + CHUNK])))
         yield decoder.decode(b"", final=True)
 
+    def digest(self, ids: Iterable[int]) -> str:
+        """SHA-256 of the decoded text, chunk by chunk."""
+        decoded = hashlib.sha256()
+        for part in self.decode_stream(ids):
+            decoded.update(part.encode())
+        return decoded.hexdigest()
+
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines()) if token}
@@ -295,19 +303,19 @@ def vocabulary(df: DataFrame, path: str):
 
 
 def encode(documents: DataFrame, path: str, pattern: str, memory: int = MOST_WORDS, words: int | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every whole text.
+    """(doc_id, n_tokens, ids, decoded_sha256) of every whole text; the digest is that of the decoded ids' text.
 
     ``memory`` bounds what a worker remembers; ``words`` sets its short texts apart from the transducer's memories.
     """
     data = vocabulary(documents, path)
 
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
+    def run(batch: pa.RecordBatch) -> list:
         codec = codec_of(data.value, pattern, memory, words)
-        ids = [codec.encode(t) for t in batch["text"]]
-        return pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [len(i) for i in ids],
-                             "ids": [i.astype("i4") for i in ids]})
+        ids = [codec.encode(t).astype("i4") for t in batch.column("text").to_pylist()]
+        return [batch.column("doc_id"), [len(i) for i in ids], ids, [codec.digest(i) for i in ids]]
 
-    return per_batch(documents.select("doc_id", "text"), run, "doc_id long, n_tokens long, ids array<int>")
+    id_type = dict(documents.dtypes)["doc_id"]
+    return per_slice(documents.select("doc_id", "text"), run, f"doc_id {id_type}, n_tokens long, ids array<int>, decoded_sha256 string")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.common import per_batch
+from abacist.llm.common import SLICE, per_batch
 from abacist.session import materialise
 
 FEATURES = 192
@@ -190,8 +191,10 @@ def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESH
     training = materialise(training_rows(measured, labels))
     model = fit(training)
 
-    @F.pandas_udf("double")
-    def score_of(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array([statistics(t) for t in texts]).reshape(-1, len(NAMES))))
+    @F.arrow_udf("double")
+    def score_of(texts: pa.Array) -> pa.Array:
+        parts = [texts.slice(i, SLICE).to_pylist() for i in range(0, len(texts), SLICE)]
+        scores = [model.score(np.array([statistics(t) for t in part])) for part in parts]
+        return pa.array(np.concatenate([np.zeros(0), *scores]))
 
     return documents.where(score_of("text") >= threshold)

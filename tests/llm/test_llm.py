@@ -335,6 +335,96 @@ def test_fingerprints_of_few_and_of_more_words_are_compared_alike(spark):
     assert all(r.fingerprint for r in got.values())
 
 
+def test_components_of_chains_stars_and_loops(spark):
+    from abacist.llm.components import components
+
+    rng = np.random.default_rng(8)
+    chain = [(i, i + 1) for i in range(100)]
+    star = [(1000, i) for i in range(900, 1000)] + [(i, 1001) for i in range(1002, 1010)] + [(1000, 1001)]
+    mixed = [(int(a), int(b)) for a, b in rng.integers(2000, 2200, (120, 2))]
+    edges = [*chain, *star, *mixed, (5, 5), (3, 4)]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    joined = {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {x: root(x) for x in joined}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_copies_make_few_edges(spark, monkeypatch):
+    seen = []
+    plain = jaccard_join.components
+    monkeypatch.setattr(jaccard_join, "components", lambda edges: seen.append(edges.count()) or plain(edges))
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(600):
+        words = list(base)
+        for at in rng.integers(0, 120, 3):
+            words[at] = f"x{rng.integers(10**6)}"
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r.n_links for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(zip(range(600), brute_links(rows))) and seen[0] <= 3 * 600
+
+
+def test_recall_of_the_near_duplicates(spark):
+    """Links of the rows whose id is divisible by 50 against all rows, by brute force."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    sets = {i: grams(t) for i, t in rows}
+    expected = {i: sum(j != i and len(a & b) >= 0.8 * len(a | b) for j, b in sets.items()) for i, a in sets.items() if i % 50 == 0 and a}
+    got = {r.doc_id: r.n_links for r in QUERIES["op5_jaccard_join"](spark, "/root/testdata/sf0.01").collect()}
+    assert sum(expected.values()) > 0 and {i: got[i] for i in expected} == expected
+
+
+def test_pipeline_stages_like_plain_python(spark):
+    import tiktoken
+
+    read = lambda name: spark.read.parquet(f"{SF}/{name}.parquet")
+    steps, docs = dict(corpus_pipeline.STAGES), read("documents")
+    texts = lambda df: {r.doc_id: r.text or "" for r in df.collect()}
+    good = steps["quality"](spark, docs, SF)
+    passed = {r.doc_id for r in quality.scored(docs, read("labels")).where("predicted = 1").collect()}
+    assert texts(good) == {i: t for i, t in texts(docs).items() if i in passed} and good.columns == docs.columns
+    one = steps["near_duplicates"](spark, good, SF)
+    sets = {i: grams(t) for i, t in texts(good).items()}
+    owner = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if i < j and sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((owner[i], owner[j]))
+                owner = {k: low if o == high else o for k, o in owner.items()}
+    assert texts(one) == {i: t for i, t in texts(good).items() if owner[i] == i}
+    named = steps["pseudonyms"](spark, one, SF)
+    own = texts(named)
+    assert own.keys() == texts(one).keys() and named.columns == docs.columns
+    mixed = steps["mix"](spark, named, SF)
+    drawn = mixed.collect()
+    size = lambda t: len(WORDS.findall(t or ""))
+    sizes, taken = Counter(), Counter()
+    for r in named.collect():
+        sizes[r.source] += size(r.text)
+    for r in drawn:
+        taken[r.source] += size(r.text)
+        left = iter(WORDS.findall(own[r.doc_id]))
+        assert r.text == own[r.doc_id] or all(w in left for w in WORDS.findall(r.text))
+    assert mixed.columns == docs.columns and max(Counter(r.doc_id for r in drawn).values()) <= 3
+    assert all(abs(taken[s] - goal) <= mixing.BLOCK_WORDS for s, goal in water_levels(sizes).items())
+    with open(tokenizer_path(), "rb") as f:
+        library = tiktoken.Encoding("own", pat_str=tokenizer_pattern(), mergeable_ranks=bpe.read_ranks(f.read()), special_tokens={})
+    out = steps["tokens"](spark, mixed, SF)
+    rows = lambda found: Counter((i, tuple(ids), digest) for i, ids, digest in found)
+    expected = rows((r.doc_id, library.encode_ordinary(r.text or ""), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in drawn)
+    assert rows((r.doc_id, r.ids, r.decoded_sha256) for r in out.collect()) == expected
+
+
 def test_pipeline_runs_to_the_end(spark):
     out = corpus_pipeline.run(spark, SF)
-    assert out.columns == ["doc_id", "n_tokens", "ids"] and 0 < out.count() <= 600
+    assert out.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"] and 0 < out.count() <= 600

@@ -11,8 +11,8 @@ from abacist.llm.queries import table, tokenizer_path, tokenizer_pattern
 from abacist.session import shared_dir
 
 
-WORKER_WORDS = 100_000
-"""Words that a tokenizing worker remembers: less than the operator's own bound, as its executor also serves the other stages."""
+MEMORY = 60_000
+"""What a tokenizing worker remembers: less than the operator's own bound, as its executor also serves the other stages."""
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every drawn text."""
-    return bpe.encode(docs, tokenizer_path(), tokenizer_pattern(), words=WORKER_WORDS)
+    """(doc_id, n_tokens, ids, decoded_sha256) of every drawn text; the ids are decoded again for the digest."""
+    return bpe.encode(docs, tokenizer_path(), tokenizer_pattern(), memory=MEMORY)
 
 
 STAGES = [("quality", keep_good), ("near_duplicates", keep_one), ("pseudonyms", pseudonymise), ("mix", mix), ("tokens", tokens)]

@@ -256,18 +256,19 @@ def tiles(members: DataFrame) -> DataFrame:
         "pair", (F.col("level") != F.col("other")) | (F.col("a") != F.col("b")))
 
 
-def possible(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose ``text_key`` passes a blocked Bloom filter of the keys, so that few texts are shuffled.
+def asked(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Add ``__maybe``: whether a row's key passes a blocked Bloom filter of the keys, so that few rows are shuffled.
 
-    Up to ``BROADCAST_BYTES`` of filter; beyond, all rows go on to the exact join.
+    Up to ``BROADCAST_BYTES`` of filter; beyond, every row may be a hit.
     """
+    keys = keys.select(F.col(keys.columns[0]).alias("__bloom_key"))
     blocks = keys.count() * BITS_PER_KEY // (64 * FILTER_WORDS) + 1
     if blocks * (FILTER_WORDS + 1) * 8 > BROADCAST_BYTES:
-        return rows
-    key = F.col("text_key")
-    bloom = F.broadcast(bloom_filter(keys, "text_key", blocks))
-    passes = reduce(lambda a, b: a & b, (F.col(f"w{i}").bitwiseAND(bit_of(key, i)) != 0 for i in range(FILTER_WORDS)))
-    return rows.join(bloom, block_of(key, blocks) == F.col("__block")).where(passes).select("text_key", "text")
+        return rows.withColumn("__maybe", F.lit(True))
+    bloom = F.broadcast(bloom_filter(keys, "__bloom_key", blocks))
+    passes = reduce(lambda a, b: a & b, (F.col(f"w{i}").bitwiseAND(bit_of(F.col(key), i)) != 0 for i in range(FILTER_WORDS)))
+    joined = rows.join(bloom, block_of(F.col(key), blocks) == F.col("__block"), "left")
+    return joined.select(*rows.columns, F.coalesce(passes, F.lit(False)).alias("__maybe"))
 
 
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -298,7 +299,7 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     def sets(batch: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"key": batch["text_key"], "grams": [grams(t).tobytes() for t in batch["text"]]})
 
-    wanted = possible(rows.select("text_key", "text"), members.select("text_key"))
+    wanted = asked(rows.select("text_key", "text"), members.select("text_key"), "text_key").where("__maybe").drop("__maybe")
     # an inner join, since a semi join would be pushed below the filter; the members' keys are distinct
     wanted = wanted.join(members.select("text_key"), "text_key")
     gram_sets = per_batch(wanted, sets, "key string, grams binary").groupBy("key").agg(F.first("grams").alias("grams"))
@@ -339,7 +340,8 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def without(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
         return left.join(right, (F.col("__doc") == F.col("__id")) & (F.col("__text") == F.col("__key")), how)
 
-    out = without(row, marks, "left_anti")
+    row = asked(row, marks.select("__key"), "__text")
+    out = row.where(~F.col("__maybe")).unionAll(without(row.where("__maybe"), marks, "left_anti"))
     again = marks.where("__stays")
     if not again.isEmpty():
         out = out.unionAll(without(row, again, "left_semi").dropDuplicates(["__doc", "__text"]))

@@ -152,9 +152,44 @@ def exact_total(c: ColumnOrName) -> Column:
     return F.sum(as_col(c).cast(EXACT))
 
 
+SMALL, PLAIN, LARGE = (1e-30, 1e-9), (1e-9, 1e15), (1e15, 1e30)
+"""Absolute values that are added as decimals with 34, 18 and 3 places."""
+
+
+def is_plain(c: ColumnOrName) -> Column:
+    size = F.abs(as_col(c))
+    return (size < PLAIN[1]) & ((size >= PLAIN[0]) | (size == 0))
+
+
+def total_parts(c: ColumnOrName) -> tuple[Column, Column]:
+    """``exact_total`` of the plain numbers and ``exact_sum`` of all others, null without any: totals that are added up again."""
+    c = as_col(c)
+    return exact_total(F.when(is_plain(c), c)), exact_sum(F.when(~is_plain(c), c))
+
+
 def exact_sum(c: ColumnOrName) -> Column:
-    """``exact_total`` as double."""
-    return exact_total(c).cast("double")
+    """Sum as double that does not depend on the order of the rows.
+
+    Numbers of ``PLAIN`` size and zeros are an ``exact_total``; smaller and larger ones have decimal totals of
+    their own with 34 and 3 places, and only what lies beyond these is added as doubles. The totals, each exact,
+    are then added in a fixed order. NaN and infinite numbers decide the sum as in ``F.sum``.
+    """
+    c = as_col(c)
+    size = F.abs(c)
+
+    def total(cond: Column, type_: str) -> Column:
+        return F.sum(F.when(cond, c.cast(type_)))
+
+    def within(span: tuple[float, float]) -> Column:
+        return (size >= span[0]) & (size < span[1])
+
+    plain = total(is_plain(c), EXACT).cast("double")
+    beyond = (size < math.inf) & ((size >= LARGE[1]) | (size < SMALL[0]) & (size > 0))
+    others = [total(within(SMALL), "decimal(38,34)"), total(within(LARGE), "decimal(38,3)"), total(beyond, "double")]
+    not_finite = total(size >= math.inf, "double")
+    whole = reduce(lambda a, b: a + b, (F.coalesce(t.cast("double"), F.lit(0.0)) for t in [*others, plain]))
+    some = reduce(lambda a, b: a | b, (t.isNotNull() for t in others))
+    return F.coalesce(not_finite, F.when(some, whole).otherwise(plain))
 
 
 def exact_mean(c: ColumnOrName) -> Column:

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abacist.functions.scalars import as_col, exact_total
+from abacist.functions.scalars import as_col, exact_sum, total_parts
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -91,15 +91,17 @@ def fanout_mean(
     apart, so that both products fit a decimal without rounding.
     """
     weight = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("__w"))
+    plain, rest = total_parts(value)
     part = right.groupBy(on, group).agg(
-        exact_total(value).alias("__s"), F.count(F.col(value)).alias("__n")
+        F.coalesce(plain, F.lit(0)).alias("__s"), rest.alias("__rest"), F.count(F.col(value)).alias("__n")
     )
     whole = F.floor("__s").cast("decimal(19,0)")
     broken = (F.col("__s") - F.floor("__s")).cast("decimal(19,18)")
     times = F.col("__w").cast("decimal(18,0)")
     return part.join(weight, on).groupBy(group).agg(
         F.try_divide(
-            (F.sum(whole * times).cast("decimal(37,18)") + F.sum(broken * times).cast("decimal(37,18)")).cast("double"),
+            (F.sum(whole * times).cast("decimal(37,18)") + F.sum(broken * times).cast("decimal(37,18)")).cast("double")
+            + F.coalesce(exact_sum(F.col("__rest") * F.col("__w")), F.lit(0.0)),
             F.sum(F.col("__n") * F.col("__w")),
         ).alias(name)
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.functions.scalars import exact_mean, exact_sum, exact_total, safe_divide
+from abacist.functions.scalars import exact_mean, exact_sum, safe_divide, total_parts
 from abacist.operators.aggregates import freq_encode
 from abacist.operators.prep import bucket, fill_zero, label_at_least, null_flags
 from abacist.operators.relational import star_left
@@ -43,12 +43,14 @@ def lap_features(races: DataFrame, lap_times: DataFrame, year: int = 2018) -> Da
 
     Laps are reduced per driver and race before the race year is joined on.
     """
+    plain, rest = total_parts("milliseconds")
     per_race = lap_times.groupBy("driverId", "raceId").agg(
-        exact_total("milliseconds").alias("ms"), F.count("milliseconds").alias("laps")
+        plain.alias("ms"), rest.alias("rest"), F.count("milliseconds").alias("laps")
     )
+    total = F.coalesce(F.sum("ms").cast("double"), F.lit(0.0)) + F.coalesce(exact_sum("rest"), F.lit(0.0))
     return per_race.join(races.select("raceId", "year"), "raceId").groupBy("driverId").agg(
         F.max(F.lit(year) - F.col("year")).alias("raceYearDiff"),
-        safe_divide(F.sum("ms").cast("double"), F.sum("laps")).alias("avgLapTime"),
+        safe_divide(F.when(F.sum("laps") > 0, total), F.sum("laps")).alias("avgLapTime"),
     )
 
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from abacist.functions.scalars import (
-    age_brought_forward, age_in_years, calendar_years, compact_date, date_of, first_int,
+    age_brought_forward, age_in_years, calendar_years, compact_date, date_of, exact_sum, first_int,
     round_all, text_match, units,
 )
 from abacist.operators import aggregates as A
@@ -581,3 +581,29 @@ def report_air_stations(spark, sf):
         F.col("s_name").alias("Station"), F.col("s_nationkey").alias("Longitude"), F.col("s_acctbal").alias("Latitude")
     )
     return city_reports.stations_with_air_quality(station.where("Latitude > 1000"), station.where("Longitude < 15"))
+
+
+@query(
+    "sum_extremes",
+    """WITH parts AS (
+      SELECT l_returnflag, l_linenumber, SUM(l_orderkey) AS s, COUNT(CASE WHEN l_linenumber < 7 THEN 1 END) AS rows,
+        bool_or(l_orderkey % 50 = 0) AS up, bool_or(l_orderkey % 50 = 1) AS down FROM lineitem GROUP BY ALL),
+    marked AS (
+      SELECT *, CASE WHEN l_linenumber = 4 AND up OR l_linenumber = 6 AND up AND down THEN 'NaN'
+        WHEN l_linenumber IN (5, 6) AND up THEN 'Infinity' WHEN l_linenumber = 6 AND down THEN '-Infinity' END AS odd FROM parts)
+    SELECT l_returnflag, l_linenumber, odd, rows, CASE WHEN odd IS NULL AND l_linenumber < 7 THEN
+      CAST(CASE l_linenumber WHEN 2 THEN s || 'e-19' WHEN 3 THEN 2 * s || 'e20' ELSE CAST(s AS VARCHAR) END AS DOUBLE) END AS total
+    FROM marked""",
+)
+def sum_extremes(spark, sf):
+    """Sums of very small and large numbers, and with NaN and infinite ones among them, by line number."""
+    key, kind = F.col("l_orderkey"), F.col("l_linenumber")
+    marks = [key % 50 == 0, key % 50 == 1]
+    digits = F.when(kind == 2, F.concat(key, F.lit("e-19"))).when(kind == 3, F.concat(2 * key, F.lit("e20")))
+    digits = digits.when((kind == 4) & marks[0], "NaN").when(kind.isin(5, 6) & marks[0], "Infinity")
+    digits = digits.when((kind == 6) & marks[1], "-Infinity").when(kind < 7, key.cast("string"))
+    rows = load(spark, sf, "lineitem").select("l_returnflag", "l_linenumber", digits.cast("double").alias("x"))
+    sums = rows.groupBy("l_returnflag", "l_linenumber").agg(exact_sum("x").alias("s"), F.count("x").alias("rows"))
+    finite = F.abs("s") < float("inf")
+    return sums.select("l_returnflag", "l_linenumber", F.when(~finite, F.col("s").cast("string")).alias("odd"),
+                       F.when(finite, F.col("s")).alias("total"), "rows")

@@ -146,3 +146,20 @@ def test_city_reports_on_ties(frame):
     assert out.count() == 4  # equal totals match each other
     stations = frame([("s", "1", "2"), ("t", "1", "2")], "Station string, Longitude string, Latitude string")
     assert city_reports.stations_with_air_quality(stations, stations.where("Station = 's'")).count() == 1
+
+
+def test_sums_keep_every_number(frame):
+    from abacist.functions.scalars import exact_mean, exact_sum
+    from abacist.operators.relational import fanout_mean
+
+    inf, nan = float("inf"), float("nan")
+    cases = {"nan": [1.0, nan], "inf": [1.0, inf, 3.0], "both": [inf, -inf], "tiny": [1e-19, 2e-19], "large": [2e20, 2e20, 1.0],
+             "mixed": [1e-12, 1.0, 2e20], "none": [None], "zero": [0.0, None], "huge": [1e300, 1e300], "least": [5e-324, 5e-324]}
+    rows = [(k, v) for k, values in cases.items() for v in values]
+    got = {r.k: (str(r.s), str(r.m)) for r in frame(rows, "k string, v double").groupBy("k").agg(
+        exact_sum("v").alias("s"), exact_mean("v").alias("m")).collect()}
+    assert got == {"nan": ("nan", "nan"), "inf": ("inf", "inf"), "both": ("nan", "nan"), "tiny": ("3e-19", "1.5e-19"),
+                   "large": ("4e+20", str(4e20 / 3)), "mixed": ("2e+20", str(2e20 / 3)), "none": ("None", "None"), "zero": ("0.0", "0.0"),
+                   "huge": ("2e+300", "1e+300"), "least": ("1e-323", "5e-324")}
+    left, right = frame([(1,), (1,), (2,)], "k int"), frame([(1, "a", inf), (2, "a", 1.0), (1, "b", 1e-19), (2, "c", 2.0), (1, "c", 0.5)], "k int, g string, v double")
+    assert {r.g: r.m for r in fanout_mean(left, right, "k", "g", "v", "m").collect()} == {"a": inf, "b": 1e-19, "c": 1.0}

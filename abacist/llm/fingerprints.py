@@ -1,15 +1,13 @@
 """Document fingerprints from closed syncmers.
 
-A text's symbols (its words, or its characters) are hashed in order. Of every run of ``K`` symbols
-the hashes of its inner runs of ``S`` symbols are compared; the run is an anchor if the smallest
+A text's words are hashed in order. Of every run of ``K`` words
+the hashes of its inner runs of ``S`` words are compared; the run is an anchor if the smallest
 lies at its first or last place. Whether a run is chosen depends on nothing outside it, so passages
 that two texts share have the same anchors wherever they stand. A fingerprint holds every anchor with
-the place of its first symbol, in the order of the text: none is dropped, repeats are kept.
+the place of its first word, in the order of the text: none is dropped, repeats are kept.
 
-Every text has a fingerprint of its words. Two texts are compared on words, or, if one of them has
-fewer than ``FEW``, both on their characters, so the two sides of a comparison are of one kind. The
-n-th anchor with some hash in one text matches the n-th with that hash in the other. Likeness
-is the part of both texts' anchors that is matched. Matches that follow each other at the same
+The n-th anchor with some hash in one text matches the n-th with that hash in the other. Likeness
+is the part of both fingerprints' anchors that is matched, whatever the texts' lengths. Matches that follow each other at the same
 distance of places form a passage: in a shared passage the next anchor is at most ``K - S`` places on.
 
 Only DataFrame functions are used. Defined cases: null text counts as empty and has an empty
@@ -28,7 +26,6 @@ from abacist.llm.common import SPACES, let
 from abacist.session import materialise
 
 K, S = 5, 2
-FEW = 32
 TEXTS = ("text", "edited", "next")
 MARK = "array<struct<hash:bigint,place:int>>"
 
@@ -37,10 +34,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"[{SPACES}]+"), lambda w: w != "")
 
 
-def letters(text: Column) -> Column:
-    return F.filter(F.split(text, ""), lambda c: c != "")
-
-
 def fingerprint(symbols: Column) -> Column:
     """Hash and place of every closed syncmer, in the order of the text; fewer than ``K`` symbols make one anchor."""
 
@@ -143,21 +136,17 @@ def neighbours(keys: DataFrame) -> DataFrame:
 
 
 def compared(both: DataFrame, one: str, other: str, name: str) -> DataFrame:
-    """Add ``near_name`` and ``passage_name`` of two texts: by words, or by characters where one has few words."""
-    few = (F.size(f"{one}_words") < FEW) | (F.size(f"{other}_words") < FEW)
-    a, b = (F.when(few, F.col(f"{t}_letter_mark")).otherwise(F.col(f"{t}_mark")) for t in (one, other))
-    both = both.withColumns({"__a": a, "__b": b}).withColumn("__matched", matches(F.col("__a"), F.col("__b")))
-    size = F.when(few, F.char_length(one)).otherwise(F.size(f"{one}_words"))
-    return both.withColumns({f"near_{name}": likeness(F.col("__a"), F.col("__b"), F.col("__matched")),
-                             f"passage_{name}": passage(F.col("__matched"), size)}).drop("__a", "__b", "__matched")
+    """Add ``near_name`` and ``passage_name`` of two texts' fingerprints."""
+    both = both.withColumn("__matched", matches(F.col(f"{one}_mark"), F.col(f"{other}_mark")))
+    return both.withColumns({f"near_{name}": likeness(F.col(f"{one}_mark"), F.col(f"{other}_mark"), F.col("__matched")),
+                             f"passage_{name}": passage(F.col("__matched"), F.size(f"{one}_words"))}).drop("__matched")
 
 
 def edited_fingerprints(documents: DataFrame) -> DataFrame:
     """Fingerprints of every text and of the text whose last third the next document's start replaces.
 
     Texts are shuffled once by their key; each is sent to the document before it in a second shuffle.
-    Anchors are computed after it, as the hashes of a whole text take more room than the text. The
-    character form stands beside that of words where a text was compared on characters, else it is null.
+    Anchors are computed after it, as the hashes of a whole text take more room than the text.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.select("doc_id", text.alias("text")).withColumn("hash", F.xxhash64("text"))
@@ -174,14 +163,9 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     edited = F.concat(F.substr("text", F.lit(1), n - third), F.substr("next", F.lit(1), third))
     both = both.select("doc_id", "copies", n.cast("long").alias("n_chars"), "text", "next", edited.alias("edited"))
     both = both.withColumns({f"{t}_words": words(F.col(t)) for t in TEXTS})
-    few = {t: F.size(f"{t}_words") < FEW for t in TEXTS}
-    on_letters = {"text": few["text"] | few["edited"] | few["next"], "edited": few["text"] | few["edited"], "next": few["text"] | few["next"]}
-    both = both.withColumns({f"{t}_mark": fingerprint(F.col(f"{t}_words")) for t in TEXTS} | {
-        f"{t}_letter_mark": F.when(on_letters[t], fingerprint(letters(F.col(t)))) for t in TEXTS})
+    both = both.withColumns({f"{t}_mark": fingerprint(F.col(f"{t}_words")) for t in TEXTS})
     both = compared(compared(both, "text", "edited", "edited"), "text", "next", "next")
     out = both.select("doc_id", "copies", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                       as_text(F.col("text_mark")).alias("fingerprint"), as_text(F.col("edited_mark")).alias("edited_fingerprint"),
-                      as_text(F.col("text_letter_mark")).alias("letter_fingerprint"),
-                      as_text(F.col("edited_letter_mark")).alias("edited_letter_fingerprint"),
                       "near_edited", "near_next", "passage_edited", "passage_next")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies", "copy")

@@ -321,18 +321,25 @@ def test_fingerprints_keep_every_anchor_with_its_place(spark):
     assert len(marks[3]) > 64 and 48 <= got[3].passage_next <= 54 and got[3].near_next > 0
 
 
-def test_fingerprints_of_few_and_of_more_words_are_compared_alike(spark):
-    words = [f"word{i}" for i in range(40)]
-    long_start = "y" * 200 + " end"
-    texts = {9: " ".join(words[:31]), 8: " ".join(words[:32]), 7: " ".join(words[:33]), 6: long_start, 5: "one two three four", 4: "one two three"}
+def test_likeness_is_that_of_the_returned_fingerprints(spark):
+    """Also beside texts with few words: the contract's likeness is of the fingerprints, one kind of symbols for all."""
+    words = [f"word{i}" for i in range(60)]
+    texts = {9: " ".join(words[:31]), 8: " ".join(words[:36]), 7: " ".join(words[:33]), 6: "y" * 200 + " end", 5: "one two three four",
+             4: "one two three four", 3: "one two three", 2: "", 1: " ".join(words[:31]), 0: " ".join(words[10:60])}
     got = {r.doc_id: r for r in fingerprints.edited_fingerprints(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
-    assert got[9].near_next > 0.9 and got[8].near_next > 0.9
-    n = len(texts[7]) // 3
-    assert len((texts[7][:-n] + long_start[:n]).split()) < fingerprints.FEW <= len(texts[7].split())
-    assert 0.5 < got[7].near_edited < 1 and got[5].near_next > 0.5
-    letters = lambda i: brute_anchors(spark, list(texts[i]))
-    assert (got[9].near_next, got[9].passage_next) == brute_match(letters(9), letters(8))
-    assert all(r.fingerprint for r in got.values())
+
+    def marks(text):
+        return [(text[i:i + 16], int(text[i + 16:i + 24], 16)) for i in range(0, len(text), 24)]
+
+    def brute(a, b):
+        return brute_match(marks(a), marks(b))[0] if a or b else 1.0
+
+    for i, r in got.items():
+        assert r.near_next == pytest.approx(brute(r.fingerprint, got[(i - 1) % 10].fingerprint))
+        assert r.near_edited == pytest.approx(brute(r.fingerprint, r.edited_fingerprint))
+        assert len(marks(r.fingerprint)) == len(brute_anchors(spark, texts[i].split())) if len(texts[i].split()) >= fingerprints.K else len(r.fingerprint) in (0, 24)
+    assert got[9].fingerprint == got[1].fingerprint and got[5].fingerprint == got[4].fingerprint
+    assert got[9].near_next > 0.8 and got[5].near_next == 1.0 and got[4].near_next == 0.0
 
 
 def test_components_of_chains_stars_and_loops(spark):

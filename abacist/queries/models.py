@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from abacist.operators import batched as B
 from abacist.operators import evaluate as E
 from abacist.operators import models as M
 from abacist.operators import neighbors as N
@@ -80,13 +81,37 @@ def model_mlp(spark, sf):
     return E.auc(scored, "prob", "label", digits=4)
 
 
+LINEAR = ["l_quantity", "l_discount", "l_tax"]
+
+
 @query("model_lin")
 def model_lin(spark, sf):
-    """Elastic-net linear regression tuned over a small grid by train-validation split."""
-    rows = M.features_of(load(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
-    options = {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]}
-    fitted = M.train_validation(M.linear(), options, RegressionEvaluator(), rows)
-    return M.cv_results(fitted, options, spark)
+    """Linear regression with ridge and with lasso penalty, by ten folds of the orders."""
+    items = load(spark, sf, "lineitem", "l_orderkey", "l_extendedprice", *LINEAR)
+    found = B.elastic_net_folds(items, LINEAR, "l_extendedprice", "l_orderkey", [0.01], [0.0, 1.0], folds=10)
+    return found.select("reg", "elastic", F.round("rmse", 4).alias("rmse"))
+
+
+@query(
+    "model_least_squares",
+    """WITH c AS (
+      SELECT var_pop(l_quantity) AS qq, var_pop(l_discount) AS dd, var_pop(l_tax) AS tt, covar_pop(l_quantity, l_discount) AS qd,
+        covar_pop(l_quantity, l_tax) AS qt, covar_pop(l_discount, l_tax) AS dt, covar_pop(l_quantity, l_extendedprice) AS qy,
+        covar_pop(l_discount, l_extendedprice) AS dy, covar_pop(l_tax, l_extendedprice) AS ty, avg(l_quantity) AS q, avg(l_discount) AS d,
+        avg(l_tax) AS t, avg(l_extendedprice) AS y FROM lineitem),
+    s AS (SELECT *, qq * (dd * tt - dt * dt) - qd * (qd * tt - dt * qt) + qt * (qd * dt - dd * qt) AS det FROM c),
+    b AS (SELECT *, (qy * (dd * tt - dt * dt) - qd * (dy * tt - dt * ty) + qt * (dy * dt - dd * ty)) / det AS bq,
+      (qq * (dy * tt - dt * ty) - qy * (qd * tt - dt * qt) + qt * (qd * ty - dy * qt)) / det AS bd,
+      (qq * (dd * ty - dy * dt) - qd * (qd * ty - dy * qt) + qy * (qd * dt - dd * qt)) / det AS bt FROM s)
+    SELECT unnest(['intercept', 'l_quantity', 'l_discount', 'l_tax']) AS variable,
+      unnest([round(y - bq * q - bd * d - bt * t, 3), round(bq, 3), round(bd, 3), round(bt, 3)]) AS coef FROM b""",
+)
+def model_least_squares(spark, sf):
+    """Least squares from the moments of ten folds, by the normal equations."""
+    items = load(spark, sf, "lineitem", "l_orderkey", "l_extendedprice", *LINEAR)
+    fit = B.elastic_net_folds(items, LINEAR, "l_extendedprice", "l_orderkey", [0.0], [0.0], folds=10).first()
+    rows = list(zip(["intercept", *LINEAR], [fit["intercept"], *fit["coefficients"]]))
+    return spark.createDataFrame(rows, "variable string, coef double").withColumn("coef", F.round("coef", 3))
 
 
 @query("model_poisson")
@@ -156,18 +181,41 @@ def model_zoo(spark, sf):
 
 @query("stepwise")
 def stepwise(spark, sf):
-    """Forward selection over the five columns."""
+    """Forward selection over the five columns; all candidates of a step are fitted together."""
     train, test = _parts(spark, sf)
-    return M.stepwise(train, test, FEATURES, "target", M.logistic())
+    return B.stepwise_logistic(train, test, FEATURES, "target")
 
 
 @query("next_best")
 def next_best(spark, sf):
     """Order in which variables raise the area under ROC of a logistic regression most, at most five."""
-    names = M.next_best(_rows(spark, sf), [], FEATURES, "target", M.logistic(), max_n=5)
+    names = B.next_best_logistic(_rows(spark, sf), [], FEATURES, "target", max_n=5)
     return spark.createDataFrame(list(enumerate(names, 1)), "step int, variable string")
 
 
+SETS = [[f] for f in FEATURES] + [FEATURES]
+
+
+@query(
+    "logit_moments",
+    "WITH r AS (SELECT *, l_discount + l_tax > 0.09 AND l_quantity > 15 AS y FROM lineitem) "
+    + " UNION ALL ".join(f"SELECT '{', '.join(s)}' AS features, '{v}' AS variable, round(sum(CASE WHEN y THEN {x} ELSE 0 END) / sum({x}), 6) AS share FROM r"
+                         for s in SETS for v, x in [("intercept", "1"), *[(c, f"CAST({c} AS DOUBLE)") for c in s]]),
+)
+def logit_moments(spark, sf):
+    """First-order conditions of six logistic regressions fitted together: shares of each column that the fits and the labels expect."""
+    rows = materialise(_rows(spark, sf).select("target", *FEATURES))
+    shares, names = [], []
+    for fit in B.logistic_fits(rows, "target", SETS):
+        p = 1 / (1 + F.exp(-fit.margin()))
+        for name, x in [("intercept", F.lit(1.0)), *[(c, F.col(c).cast("double")) for c in fit.columns]]:
+            names.append((", ".join(fit.columns), name))
+            shares.append((F.sum(p * x) / F.sum(x)).alias(f"s{len(names)}"))
+    found = rows.agg(*shares).first()
+    out = [(*name, round(value, 6)) for name, value in zip(names, found)]
+    return spark.createDataFrame(out, "features string, variable string, share double")
+
+
 @query("select_by_corr")
 def select_by_corr(spark, sf):
     """Columns whose correlation with the label has a small p-value."""

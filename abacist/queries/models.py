@@ -15,6 +15,8 @@ from abacist.operators.sampling import hash_split
 from abacist.queries.registry import load, query
 from abacist.session import materialise
 
+DRAW = "CAST('0x' || substr(md5('123' || CAST({key} AS VARCHAR)), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496.0"
+"""The draw of ``hash_split`` with seed 123 in SQL."""
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
 
@@ -124,6 +126,20 @@ def model_poisson(spark, sf):
     )
 
 
+@query(
+    "poisson_moments",
+    """SELECT unnest(['intercept', 'l_quantity']) AS variable, unnest([round(avg(l_linenumber), 4),
+      round(sum(l_linenumber * l_quantity) / sum(l_quantity), 4)]) AS mean FROM lineitem""",
+)
+def poisson_moments(spark, sf):
+    """First-order conditions of the Poisson regression: mean rate, plain and weighted by quantity, as the counts have it."""
+    items = load(spark, sf, "lineitem", "l_linenumber", "l_quantity")
+    model = M.poisson(tol=1e-10, maxIter=100).fit(M.features_of(items, ["l_quantity"], "l_linenumber"))
+    rate = F.exp(F.lit(float(model.intercept)) + F.lit(float(model.coefficients[0])) * F.col("l_quantity"))
+    found = items.agg(F.avg(rate).alias("intercept"), (F.sum(rate * F.col("l_quantity")) / F.sum("l_quantity")).alias("l_quantity"))
+    return found.select(F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), F.round(c, 4).alias("mean")) for c in found.columns])))
+
+
 @query("model_formula")
 def model_formula(spark, sf):
     """Formula features learned on the training rows, logistic regression, coefficient per feature."""
@@ -150,13 +166,18 @@ def model_pipeline(spark, sf):
     return model.transform(prepared).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("model_scaled")
+@query(
+    "model_scaled",
+    f"""WITH r AS (SELECT l_quantity AS x, CASE WHEN {DRAW.format(key='l_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS split FROM lineitem),
+    t AS (SELECT min(x) AS low, max(x) AS high FROM r WHERE split = 'train')
+    SELECT split, round(min((x - t.low) / (t.high - t.low)), 9) AS low, round(max((x - t.low) / (t.high - t.low)), 9) AS high FROM r, t GROUP BY split""",
+)
 def model_scaled(spark, sf):
     """Min-max scaling fitted on the training rows; range of the first slot in both parts."""
     train, test = _parts(spark, sf)
     train, test = D.scale_features(train, [test], FEATURES, "minmax")
     both = train.unionByName(test).select("split", vector_to_array("features")[0].alias("x"))
-    return both.groupBy("split").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    return both.groupBy("split").agg(F.round(F.min("x"), 9).alias("low"), F.round(F.max("x"), 9).alias("high"))
 
 
 @query("cv_grid")
@@ -216,7 +237,12 @@ def logit_moments(spark, sf):
     return spark.createDataFrame(out, "features string, variable string, share double")
 
 
-@query("select_by_corr")
+@query(
+    "select_by_corr",
+    "WITH r AS (SELECT *, CASE WHEN l_discount + l_tax > 0.09 AND l_quantity > 15 THEN 1 ELSE 0 END AS y FROM lineitem), c AS ("
+    + " UNION ALL ".join(f"SELECT '{f}' AS variable, corr({f}, y) AS r, count(*) AS n FROM r" for f in FEATURES)
+    + ") SELECT variable FROM c WHERE r * r * (n - 2) / (1 - r * r) > 10.8283",  # the 0.999 quantile of F with 1 and many degrees
+)
 def select_by_corr(spark, sf):
     """Columns whose correlation with the label has a small p-value."""
     names = D.select_by_corr(_rows(spark, sf), "target", FEATURES, 0.001)
@@ -240,7 +266,16 @@ def _vectors(spark, sf):
     return load(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), "label")
 
 
-@query("knn_vote")
+@query(
+    "knn_vote",
+    f"""WITH p AS (SELECT *, {DRAW.format(key='vec_id')} < 0.7 AS train FROM embeddings),
+    d AS (SELECT a.vec_id, b.vec_id AS neighbour, b.label,
+      list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE))) AS distance
+      FROM p a JOIN p b ON NOT a.train AND b.train),
+    r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) AS rank FROM d),
+    v AS (SELECT vec_id, label, COUNT(*) AS n FROM r WHERE rank <= 5 GROUP BY ALL)
+    SELECT vec_id, arg_min(label, (-n, label)) AS prediction FROM v GROUP BY vec_id""",
+)
 def knn_vote(spark, sf):
     """Label of every test embedding by its five nearest training embeddings."""
     parts = hash_split(_vectors(spark, sf), "vec_id", {"train": 0.7, "test": 0.3}, 123)

@@ -97,7 +97,28 @@ def forecast_rmse(spark, sf):
     return T.rmse(forecast, "series", "close", "forecast").withColumn("rmse", F.round("rmse", 4))
 
 
-@query("stock_study")
+FILLED_SQL = _interpolate_sql().replace(f"WITH {DAILY_SQL},", "").replace("SELECT n.series, n.date, ROUND(", "SELECT n.series, n.pos, (", 1)
+FILLED_SQL = FILLED_SQL.replace(" END, 6) AS close", " END) AS close", 1)
+NEAR_SQL, FILL_SQL = FILLED_SQL.split("FROM holed)", 1)
+
+
+@query(
+    "stock_study",
+    f"""WITH RECURSIVE {DAILY_SQL}, {NEAR_SQL} FROM holed), filled AS ({FILL_SQL}),
+  seed AS (SELECT series, list(close ORDER BY pos) AS w FROM filled WHERE pos > {N_TRAIN} - 102 AND pos <= {N_TRAIN} GROUP BY 1),
+  horizon AS (SELECT series, MAX(pos) AS last FROM filled GROUP BY 1),
+  r AS (SELECT s.series, CAST({N_TRAIN} AS BIGINT) AS pos, w, CAST(NULL AS DOUBLE) AS f, last FROM seed s JOIN horizon USING (series)
+    UNION ALL SELECT series, pos + 1, list_append(w[2:], list_sum(w) / 102), list_sum(w) / 102, last FROM r WHERE pos < last)
+  SELECT h.series, ROUND(sqrt(AVG((h.close - r.f) * (h.close - r.f))), 4) AS rmse
+  FROM r JOIN filled h ON h.series = r.series AND h.pos = r.pos WHERE r.f IS NOT NULL GROUP BY 1""",
+)
 def stock_study(spark, sf):
     """Forecast errors of the interpolated series, from the whole study."""
-    return run_stock_study(_holed(spark, sf), "series", "date", "close", SERIES, N_TRAIN)["errors"]
+    errors = run_stock_study(_holed(spark, sf), "series", "date", "close", SERIES, N_TRAIN)["errors"]
+    return errors.withColumn("rmse", F.round("rmse", 4))
+
+
+@query("interpolate_limit_two", _interpolate_sql(2))
+def interpolate_limit_two(spark, sf):
+    """At most two rows per gap: both days of a weekend."""
+    return T.interpolate(_holed(spark, sf), "series", ["date"], "close", limit=2).withColumn("close", F.round("close", 6))

@@ -185,7 +185,7 @@ def _cox_step(data: DataFrame, beta: np.ndarray, p: int, how: dict) -> tuple[flo
     # Efron: the l-th of d tied events sees the risk set less l/d of the tied rows
     chunks = risk.withColumn(
         "__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("d") - 1, F.lit(TIES_CHUNK).cast("long")))
-    ).withColumn(
+    ).repartition(data.sparkSession.sparkContext.defaultParallelism, "time", "__from").withColumn(
         "__l",
         F.explode(F.sequence(F.col("__from"), F.least(F.col("__from") + TIES_CHUNK, F.col("d")) - 1)),
     )

@@ -9,7 +9,7 @@ import pytest
 from abacist.llm import secrets
 
 SF = "/root/testdata/sf0.01"
-HELD_OUT = ("clientauth: {mixed}", "PRIVATE_PIN: {smooth}", "passphrase: {smooth}", "conn_pw='{mixed}'", "x-signature={small}",
+HELD_OUT = ("clientauth: {mixed}", "unlock_code: {smooth}", "vault-phrase = {smooth}", "conn_pw='{mixed}'", "x-signature={small}",
             "Credential = {mixed}")
 PLAIN = (
     ("assign", re.compile(r"""(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), 1, 12),
@@ -61,7 +61,7 @@ def test_the_field_finds_forms_it_was_not_taught(field, unseen):
     for text in unseen[:200]:
         for form in HELD_OUT:
             mixed = "".join(rng.choice(letters, 18))
-            smooth = "".join(rng.choice(["hunter", "bravo", "delta", "correct", "horse", "battery", "staple", "monkey", "dragon"], 3))
+            smooth = "".join(rng.choice(["purple", "window", "garden", "copper", "silent", "walnut"], 3))
             value = {"mixed": mixed, "small": mixed.lower(), "smooth": smooth}
             words = text.split(" ")
             at = int(rng.integers(len(words) + 1))

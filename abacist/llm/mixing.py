@@ -5,11 +5,13 @@ order by range partitioning on (source, hash), so a block's place in its source
 source that holds most rows lies in many partitions. The target gives every source an exact quota of
 draws: whole repeats of all its blocks, then the first places of the random order. A splitting tree
 shares the quotas among the output shards: each node halves its draws, and the left half takes a
-multivariate hypergeometric part of every source's quota. A draw finds its shard by walking down the
-tree, so the shards draw disjoint places, and rows are put in hash order inside their shard.
+multivariate hypergeometric part of every source's quota, from the first draws on. A shard's draws of
+a source are therefore one interval; the intervals are merged with those of the partitions, and a block
+looks its shard up among the few intervals of its own partition. The shards draw disjoint places, and
+rows are put in hash order inside their shard.
 
-Only DataFrame functions are used. Side tables hold a row per source, a row per (source, partition)
-and 2 x shards arrays of one number per source; the tree is walked from one row per source.
+Only DataFrame functions are used. Side tables hold a row per source, a row per (source, partition) and
+one per (source, shard); a node of the tree is a row with one number per source.
 
 Defined cases: null text counts as empty, a document without words is never drawn, null is a source of
 its own (last), equal rows are separate documents, an empty table gives an empty mix.
@@ -28,6 +30,8 @@ from abacist.session import materialise
 
 BLOCK_WORDS = 512
 SHARD_WORDS = 8_000_000
+LEAST_SHARDS = 16
+"""A mix has so many shards at least, however few its words."""
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 SEED = 20_240_501
@@ -134,7 +138,8 @@ def block_words_of(j: Column) -> Column:
     return F.floor(j * F.col(N) / F.col("__mix_blocks")).cast("long")
 
 
-def draws(rows: DataFrame, wanted: DataFrame, shard_words: int, seed: int) -> tuple[DataFrame, int]:
+def draws(rows: DataFrame, wanted: DataFrame, shard_words: int, seed: int,
+          least_shards: int = LEAST_SHARDS) -> tuple[DataFrame, int]:
     """One row per drawn block: row, copy, block, words, shard, order; and the number of shards."""
     j = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__mix_blocks") - 1)).alias("block")
     cut = rows.where(F.col("__mix_blocks") > 0).select(R, S, N, "__mix_blocks", j)
@@ -168,63 +173,82 @@ def draws(rows: DataFrame, wanted: DataFrame, shard_words: int, seed: int) -> tu
         "quota", F.col("whole") * F.col("blocks") + F.coalesce("extra", F.lit(0))))
 
     words = quotas.agg(F.sum("source_size")).first()[0] or 0
-    depth = max(0, math.ceil(math.log2(max(1, words) / shard_words)))
-    trees = tree(quotas, depth, seed)
-    side = quotas.join(trees, "place").select(F.col(S).alias("s"), "blocks", "quota", "tree")
-    places = cells.join(side, F.col(S).eqNullSafe(F.col("s"))).select(
-        F.col("part").alias("p"), "s", "first", "n_before", F.col("blocks").alias("in_source"), "quota", "tree")
+    depth = max(0, math.ceil(math.log2(max(least_shards, words / shard_words))))
+    pieces = cell_pieces(cells, quotas, shard_starts(quotas, depth, seed))
     # a row per (source, partition): a partition holds one source, or the few that end or begin in it
-    found = ranked.join(places, (F.col("part") == F.col("p")) & F.col(S).eqNullSafe(F.col("s")))
+    found = ranked.join(pieces, (F.col("part") == F.col("p")) & F.col(S).eqNullSafe(F.col("s")))
     place = F.col("at") - F.col("first") + F.col("n_before")
     copies = F.floor((F.col("quota") - place - 1) / F.col("in_source")).cast("long")
     drawn = found.withColumn("place", place).where(F.col("quota") > F.col("place")).select(
-        R, "block", "words", "place", "in_source", "tree", F.explode(F.sequence(F.lit(0).cast("long"), copies)).alias("copy"))
-    shard = walk(F.col("copy") * F.col("in_source") + F.col("place"), F.col("tree"), depth)
+        R, "block", "words", "place", "in_source", "pieces", F.explode(F.sequence(F.lit(0).cast("long"), copies)).alias("copy"))
+    shard = shard_at(F.col("pieces"), F.col("copy") * F.col("in_source") + F.col("place"), depth)
     drawn = drawn.select(R, "copy", "block", "words", shard.alias("shard"))
     return drawn.withColumn("order", F.xxhash64(F.lit(seed), "shard", R, "copy")), 2**depth
 
 
-def tree(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
-    """Per source, the draws that go left at every node, nodes in heap order (root 1)."""
+def shard_starts(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
+    """(place, shard, draw): the first draw of every shard that takes draws of a source, by the splitting tree.
+
+    A left half takes the first draws of its node, so a shard's draws of a source are one interval.
+    """
     listed = F.array_sort(F.collect_list(F.struct("place", "quota")))
     level = quotas.agg(listed.alias("l")).where(F.size("l") > 0).select(
         F.lit(1).cast("long").alias("node"), F.col("l.quota").alias("quotas"), F.col("l.place").alias("places"))
-    levels = []
     for _ in range(depth):
         cut = materialise(level.withColumn("left", left_part(F.col("quotas"), F.col("node"), seed)))
-        levels.append(cut.select("node", F.explode(F.arrays_zip(F.col("places").alias("place"), F.col("left").alias("left"))).alias("x")))
         right = F.zip_with("quotas", "left", lambda q, k: q - k)
         halves = F.array(F.struct((F.col("node") * 2).alias("node"), F.col("left").alias("quotas")),
                          F.struct((F.col("node") * 2 + 1).alias("node"), right.alias("quotas")))
         level = cut.select("places", F.explode(halves).alias("h")).select("h.node", "h.quotas", "places")
-    if not levels:
-        return quotas.select("place", F.array().cast("array<long>").alias("tree"))
-    rows = reduce(DataFrame.unionAll, levels).select("node", F.col("x.place").alias("place"), F.col("x.left").alias("left"))
-    nodes = F.array_sort(F.collect_list(F.struct("node", "left")))
-    return rows.groupBy("place").agg(nodes.alias("t")).select("place", F.col("t.left").alias("tree"))
+    leaves = level.select((F.col("node") - F.lit(2**depth)).alias("shard"), F.inline(F.arrays_zip(
+        F.col("places").alias("place"), F.col("quotas").alias("n"))))
+    before = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = leaves.withColumn("draw", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return starts.where(F.col("n") > 0).select("place", "shard", "draw")
 
 
-def walk(draw: Column, tree: Column, depth: int) -> Column:
-    """Shard of a draw: at each node the first draws go left."""
-    if not depth:
-        return F.lit(0).cast("long")
-    start = F.struct(F.lit(1).cast("long").alias("node"), draw.cast("long").alias("at"))
+def cell_pieces(cells: DataFrame, quotas: DataFrame, starts: DataFrame) -> DataFrame:
+    """Per (source, partition) the pieces of its draws: an array of (first draw, shard) in order.
 
-    def step(state: Column, _: Column) -> Column:
-        lefts = F.element_at(tree, state["node"].cast("int"))
-        goes_right = state["at"] >= lefts
-        return F.struct((state["node"] * 2 + goes_right.cast("long")).alias("node"),
-                        (state["at"] - F.when(goes_right, lefts).otherwise(0)).alias("at"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, step, lambda s: s["node"] - F.lit(2**depth))
+    The draws of a source are a line; it is cut where a shard begins and where a copy of a partition's
+    blocks begins. Both kinds of cuts are merged by draw number, a row each.
+    """
+    side = quotas.select(F.col(S).alias("s"), F.col("place").alias("source_place"), F.col("blocks").alias("in_source"), "quota")
+    listed = cells.join(side, F.col(S).eqNullSafe(F.col("s"))).where(F.col("quota") > F.col("n_before")).select(
+        F.col("part").alias("p"), "s", "first", "n_before", "in_source", "quota", "source_place")
+    last = F.floor((F.col("quota") - F.col("n_before") - 1) / F.col("in_source")).cast("long")
+    copies = listed.select("source_place", "p", "n_before", "in_source", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("copy"))
+    none = F.lit(None).cast("long")
+    cuts = copies.select("source_place", (F.col("copy") * F.col("in_source") + F.col("n_before")).alias("draw"),
+                         F.col("p").cast("long").alias("p"), none.alias("shard"))
+    cuts = cuts.unionAll(starts.select("place", "draw", none, "shard"))
+    cuts = cuts.groupBy("source_place", "draw").agg(F.max("p").alias("p"), F.max("shard").alias("shard"))
+    sofar = Window.partitionBy("source_place").orderBy("draw")
+    merged = cuts.select("source_place", "draw", F.last("p", ignorenulls=True).over(sofar).alias("piece_p"),
+                         F.last("shard", ignorenulls=True).over(sofar).alias("shard"))
+    arrays = merged.groupBy("source_place", "piece_p").agg(F.array_sort(F.collect_list(F.struct("draw", "shard"))).alias("pieces"))
+    arrays = arrays.withColumnRenamed("source_place", "place")
+    return listed.join(arrays, (F.col("source_place") == F.col("place")) & (F.col("p") == F.col("piece_p"))).select(
+        "p", "s", "first", "n_before", "in_source", "quota", "pieces")
+
+
+def shard_at(pieces: Column, draw: Column, depth: int) -> Column:
+    """Shard of the last piece that begins at or before a draw, by halving."""
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(depth + MOST_REPEATS))])
+
+    def step(at: Column, jump: Column) -> Column:
+        inside = (at + jump <= F.size(pieces)) & (F.get(pieces, at + jump - 1)["draw"] <= draw)
+        return at + F.when(inside, jump).otherwise(0)
+
+    return F.get(pieces, F.aggregate(steps, F.lit(0), step) - 1)["shard"]
 
 
 def mix_sizes(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
-              weights=WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED) -> DataFrame:
+              weights=WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED, least_shards: int = LEAST_SHARDS) -> DataFrame:
     """Per document the words that the mix takes, with its source's size and target."""
     rows = rows_of(documents, ["doc_id"], block_words)
     wanted = materialise(targets(rows, weights, most))
-    drawn, _ = draws(rows, wanted, shard_words, seed)
+    drawn, _ = draws(rows, wanted, shard_words, seed, least_shards)
     per_row = drawn.groupBy(R).agg(F.sum("words").alias("taken"), F.min("shard").alias("first_shard"))
     out = rows.join(per_row, R, "left").join(
         wanted.select(F.col(S).alias("s"), "source_size", "target"), F.col(S).eqNullSafe(F.col("s")))
@@ -233,7 +257,7 @@ def mix_sizes(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_words:
 
 
 def mix_documents(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
-                  weights=WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED) -> DataFrame:
+                  weights=WEIGHTS, most: int = MOST_REPEATS, seed: int = SEED, least_shards: int = LEAST_SHARDS) -> DataFrame:
     """The mixed corpus with the columns of ``documents``: a row per document and copy, in shards.
 
     A copy whose blocks are all drawn keeps its text as it is; otherwise its text is the drawn blocks
@@ -243,7 +267,7 @@ def mix_documents(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_wo
     names = documents.columns
     rows = rows_of(documents, names, block_words)
     wanted = materialise(targets(rows, weights, most))
-    drawn, shards = draws(rows, wanted, shard_words, seed)
+    drawn, shards = draws(rows, wanted, shard_words, seed, least_shards)
     copies = drawn.groupBy(R, "copy").agg(
         F.array_sort(F.collect_list(F.struct("block", "shard", "order"))).alias("__mix_drawn"))
     copies = copies.select(F.col(R).alias("__mix_r"), "__mix_drawn")

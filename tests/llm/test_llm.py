@@ -82,6 +82,34 @@ def test_mix_shards_share_the_quotas_evenly(spark):
     assert drawn.groupBy(mixing.R, "copy", "block").count().where("count > 1").isEmpty()
 
 
+def test_every_draw_lies_in_its_shards_interval(spark):
+    """Shards of blocks against the leaves of the tree, laid end to end in plain Python."""
+    texts = [(i, "a b c d " * (i % 7), None if i % 11 == 0 else f"s{i % 2}") for i in range(500)]
+    rows = mixing.rows_of(spark.createDataFrame(texts, "doc_id long, text string, source string").repartition(5), ["doc_id"], 4)
+    wanted = mixing.targets(rows)
+    drawn, shards = mixing.draws(rows, wanted, 10**9, 1)
+    assert shards == mixing.LEAST_SHARDS
+    held = drawn.join(rows.select(mixing.R, mixing.S), mixing.R).groupBy(mixing.S, "shard").count().collect()
+    counts = {(r[0], r[1]): r[2] for r in held}
+    blocks = Counter(s for _, t, s in texts for _ in range(len(t.split()) // 4))
+    quota = Counter()
+    for (source, _), n in counts.items():
+        quota[source] += n
+    targets = {r[mixing.S]: r.target / 4 for r in wanted.collect()}
+    assert all(abs(quota[s] - targets[s]) <= 1 and quota[s] <= 3 * blocks[s] for s in blocks)
+    sizes = Counter()
+    for (_, shard), n in counts.items():
+        sizes[shard] += n
+    assert len(sizes) == shards and max(sizes.values()) - min(sizes.values()) <= 4
+    quotas = spark.createDataFrame([(i, quota[s]) for i, s in enumerate(sorted(quota, key=lambda s: (s is None, s or "")))], "place long, quota long")
+    starts = sorted(tuple(r) for r in mixing.shard_starts(quotas, 4, 1).collect())
+    for place, source in enumerate(sorted(quota, key=lambda s: (s is None, s or ""))):
+        own = [(draw, shard) for p, shard, draw in starts if p == place]
+        ends = [draw for draw, _ in own[1:]] + [quota[source]]
+        assert own[0][0] == 0 and {shard: end - draw for (draw, shard), end in zip(own, ends)} == {
+            shard: n for (s, shard), n in counts.items() if s == source}
+
+
 def test_hypergeometric_has_the_right_mean_and_spread(spark):
     draws = spark.range(4000).select(mixing.hypergeometric(F.lit(300), F.lit(700), F.lit(200), F.xxhash64("id")).alias("k"))
     mean, spread = draws.agg(F.avg("k"), F.stddev("k")).first()

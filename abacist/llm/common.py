@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -16,6 +18,15 @@ SLICE = 1000
 WORD = rf"[^{SPACES}]+"
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Spark keeps a worker for later tasks, beside which other stages run."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def per_batch(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """Apply a pandas-to-pandas function to slices of every Arrow batch; no rows are gathered."""
 
@@ -23,6 +34,8 @@ def per_batch(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
         for batch in batches:
             for i in range(0, len(batch), SLICE):
                 yield fn(batch.iloc[i:i + SLICE].reset_index(drop=True))
+            batch = None
+            give_back()
 
     return df.mapInPandas(run, schema)
 
@@ -36,6 +49,8 @@ def per_slice(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
             for i in range(0, batch.num_rows, SLICE // 2):
                 columns = fn(batch.slice(i, SLICE // 2))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, types)], schema=types)
+            batch = columns = None
+            give_back()
 
     return df.mapInArrow(run, schema)
 

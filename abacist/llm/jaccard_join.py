@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacist.llm.common import per_batch, per_slice
+from abacist.llm.common import give_back, per_batch, per_slice
 from abacist.llm.components import components
 from abacist.llm.url_filter import BITS_PER_KEY, BROADCAST_BYTES, bit_of, block_of, bloom_filter
 from abacist.llm.url_filter import WORDS as FILTER_WORDS
@@ -57,6 +57,10 @@ WALKS = np.random.default_rng(11).integers(0, BINS, (64, BINS))
 MULTIPLIERS = np.random.default_rng(12).integers(0, 2**63, COMPARED, dtype="u8") * np.uint64(2) + np.uint64(1)
 
 
+LARGE_TILE = 256
+"""Classes of a tile after which a worker returns its memory."""
+
+
 class WordHash(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= MOST_WORDS:
@@ -297,7 +301,9 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     members = materialise(keyed.drop("bands").join(bounded, F.col("node") == F.col("n")).drop("n"))
 
     def sets(batch: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"key": batch["text_key"], "grams": [grams(t).tobytes() for t in batch["text"]]})
+        found = pd.DataFrame({"key": batch["text_key"], "grams": [grams(t).tobytes() for t in batch["text"]]})
+        HASHES.clear()
+        return found
 
     wanted = asked(rows.select("text_key", "text"), members.select("text_key"), "text_key").where("__maybe").drop("__maybe")
     # an inner join, since a semi join would be pushed below the filter; the members' keys are distinct
@@ -305,8 +311,14 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     gram_sets = per_batch(wanted, sets, "key string, grams binary").groupBy("key").agg(F.first("grams").alias("grams"))
     members = materialise(members.join(gram_sets, F.col("text_key") == F.col("key")).drop("key", "text_key"))
     tile = ["component", "level", "a", "other", "b"]
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        found = compare_block(part, threshold)
+        if len(part) >= LARGE_TILE:
+            give_back()
+        return found
+
     reached = materialise(tiles(members).repartition(*tile).groupBy(*tile).applyInPandas(
-        lambda part: compare_block(part, threshold), "node long, linked long, head long"))
+        compare, "node long, linked long, head long"))
     links = reached.groupBy(F.col("node").alias("l_node")).agg(F.sum("linked").alias("linked"))
     joined = components(reached.where(F.col("node") != F.col("head")).select(F.col("node").alias("a"), F.col("head").alias("b")))
     joined = joined.select(F.col("node").alias("j_node"), "root")

@@ -8,7 +8,8 @@ aggregation. It is sent to every task while its size, known from the key count,
 ``BROADCAST_BYTES``; a larger one is joined by block number, where adaptive execution splits hot blocks.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits no rule and is allowed;
-equal rows are judged each; an empty list blocks nothing.
+equal rows are judged each; an empty list blocks nothing; other columns stay, whatever their names, but
+``host``, ``path``, ``rule`` and ``verdict`` are replaced.
 """
 
 from __future__ import annotations
@@ -94,17 +95,18 @@ def judge(urls: DataFrame, listed: DataFrame, rules: list[Rule], url: str = "url
         bloom = F.broadcast(bloom)
 
     added = ["host", "path", "rule", "verdict"]
-    kept = [F.col(f"`{c}`") for c in urls.columns if c not in added]
+    kept = [c for c in urls.columns if c not in added]
     host, path = F.col("host"), F.col("path")
     name, verdict = rule_of(rules, host, path)
-    parsed = urls.select(*kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"),
-                         canonical(F.col(url)).alias("__canonical"))
-    judged = parsed.select(*kept, host, path, name.alias("rule"), verdict.alias("verdict"), "__canonical")
+    # the caller's columns travel in one struct, so none can clash with the working columns
+    parsed = urls.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("__row"), host_of(F.col(url)).alias("host"),
+                         path_of(F.col(url)).alias("path"), canonical(F.col(url)).alias("__canonical"))
+    judged = parsed.select("__row", host, path, name.alias("rule"), verdict.alias("verdict"), "__canonical")
     open_ = F.col("verdict").isNull()
     asked = judged.join(bloom, open_ & (block_of(F.col("__canonical"), blocks) == F.col("__block")), "left")
     possible = reduce(lambda a, b: a & b, (F.col(f"w{i}").bitwiseAND(bit_of(F.col("__canonical"), i)) != 0 for i in range(WORDS)))
     asked = asked.withColumn("__maybe", F.coalesce(possible, F.lit(False)))
-    plain = [*kept, host, path, F.col("rule")]
+    plain = [*[F.col("__row").getField(c).alias(c) for c in kept], host, path, F.col("rule")]
     sure = asked.where(~F.col("__maybe")).select(*plain, F.coalesce("verdict", F.lit("allow")).alias("verdict"))
     exact = asked.where(F.col("__maybe")).join(keys, F.col("__canonical") == F.col("key"), "left")
     return sure.unionAll(exact.select(*plain, F.when(F.col("key").isNotNull(), "block").otherwise("allow").alias("verdict")))

@@ -136,6 +136,18 @@ def test_url_filter_has_no_false_positives(spark):
     assert url_filter.judge(pages.limit(0), listed, rules).count() == 0
 
 
+def test_url_filter_keeps_columns_of_any_name(spark):
+    """A list unrelated to the urls' pattern; columns named like the operator's own."""
+    names = ["key", "w0", "w7", "__block", "__row", "__canonical", "__maybe", "a.b", "rule"]
+    rows = [(f"x://h{i % 500}.com/p", *[f"{n}{i}" for n in names]) for i in range(2000)]
+    pages = spark.createDataFrame(rows, ["url", *names])
+    listed = {f"h{i}.com/p" for i in range(0, 500, 7)} | {f"other{i}.net/q" for i in range(3000)}
+    got = url_filter.judge(pages, spark.createDataFrame([(x,) for x in listed], "key string"), [])
+    assert got.columns == ["url", *names[:-1], "host", "path", "rule", "verdict"]
+    found = {tuple(r)[:9]: r.verdict for r in got.collect()}
+    assert found == {r[:9]: "block" if r[0][4:] in listed else "allow" for r in rows}
+
+
 def test_top_k_is_exact_with_ties_and_bad_vectors(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=16).round(1).tolist()) for i in range(300)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -14,25 +14,30 @@ from abacist.operators.quantiles import order_statistics
 from abacist.operators.sampling import HASH_RANGE, hash_number
 from abacist.session import materialise
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS, MOST_BLOCK_ROWS, BLOCKS = 2048, 32_768, 16
+"""Least and most rows of a block, and blocks aimed at between them: a row is copied once per block it meets."""
 MOST_PIVOTS = 256
 """Pivots are kept on the driver and compared with every row."""
+TILE, RECHECKED = 500_000, 200_000
+"""Pairs of one matrix product, and pairs whose distances are computed again at once."""
 
 
 def nearest(
     queries: DataFrame, points: DataFrame, features: str, id_col: str, k: int,
-    exclude_self: bool = False, pivots: int | None = None, block_rows: int = BLOCK_ROWS, seed: int = 7,
+    exclude_self: bool = False, pivots: int | None = None, block_rows: int | None = None, seed: int = 7,
 ) -> DataFrame:
     """The ``k`` nearest points of every query: ``id, neighbour, distance, rank`` (ties by point id).
 
     Points and queries are assigned to the nearest of a few pivots (by default one per block, up to a
     limit) and cut into blocks of bounded size, so a crowded cell only makes more blocks. A block of points is compared with a block of
     queries unless the triangle inequality proves that it cannot hold one of their nearest. Each
-    comparison is one matrix product in one task and returns at most ``k`` rows per query.
+    comparison is a run of matrix products in one task and returns at most ``k`` rows per query.
     """
-    points = points.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"))
-    queries = queries.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("x"))
-    pivots = pivots or min(MOST_PIVOTS, 1 + points.count() // block_rows)
+    points, queries = _vectors(points, features, id_col), _vectors(queries, features, id_col)
+    if not (pivots and block_rows):
+        n = points.count()
+        block_rows = block_rows or min(MOST_BLOCK_ROWS, max(BLOCK_ROWS, n // BLOCKS))
+        pivots = pivots or min(MOST_PIVOTS, 1 + n // block_rows)
     chosen = points.orderBy(hash_number("id", seed)).limit(pivots).collect()
     if not chosen:
         raise ValueError("no points to search")
@@ -79,23 +84,14 @@ def nearest(
         *[F.col(k).alias(f"p_{k}") for k in keys], F.col("id").alias("p_id"), F.col("x").alias("p_x")
     )
     id_type = points.schema["id"].dataType.simpleString()
+    search = block_search(k, exclude_self)
 
     def compare(mine: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         if len(mine) == 0 or len(others) == 0:
             return pd.DataFrame({"id": [], "neighbour": [], "distance": []})
-        a, b = np.stack(mine["x"]), np.stack(others["p_x"])
         ids, other_ids = mine["id"].to_numpy(), others["p_id"].to_numpy()
-        order = np.argsort(other_ids, kind="stable")
-        b, other_ids = b[order], other_ids[order]
-        rows = []
-        for i in range(len(a)):
-            d = np.sqrt(((b - a[i]) ** 2).sum(axis=1))
-            if exclude_self:
-                d[other_ids == ids[i]] = np.inf
-            best = np.argsort(d, kind="stable")[:k]
-            best = best[np.isfinite(d[best])]
-            rows.append(pd.DataFrame({"id": ids[i], "neighbour": other_ids[best], "distance": d[best]}))
-        return pd.concat(rows)
+        at, near, distance = search(np.stack(mine["x"]).astype(float), ids, np.stack(others["p_x"]).astype(float), other_ids)
+        return pd.DataFrame({"id": ids[at], "neighbour": other_ids[near], "distance": distance})
 
     candidates = left.groupBy(*keys).cogroup(right.groupBy(*[f"p_{k}" for k in keys])).applyInPandas(
         compare, f"id {id_type}, neighbour {id_type}, distance double"
@@ -107,6 +103,74 @@ def nearest(
              (F.col("pos") + 1).alias("rank"))
 
 
+def block_search(k: int, exclude_self: bool) -> Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row of ``a``, row of ``b`` and distance of the k nearest of every row of ``a``; ties by ``other_ids``.
+
+    A matrix product in single precision gives squared distances up to rounding. What may be among the nearest, rounding
+    allowed for, is measured again from the differences. Non-finite distances are left out. The
+    function goes to the tasks by value.
+    """
+    need = k + 1 if exclude_self else k
+
+    def search(a: np.ndarray, ids: np.ndarray, b: np.ndarray, other_ids: np.ndarray):
+        order = np.argsort(other_ids, kind="stable")
+        order = order[np.isfinite(b[order]).all(axis=1)]
+        if len(order) > need:  # of equal vectors only those with the least ids can be needed
+            same = np.unique(b[order], axis=0, return_inverse=True)[1].ravel()
+            runs = np.argsort(same, kind="stable")
+            copy = np.arange(len(runs)) - np.searchsorted(same[runs], same[runs])
+            order = order[np.sort(runs[copy < need])]
+        b, other_ids = b[order], other_ids[order]
+        found = []
+        with np.errstate(over="ignore", invalid="ignore"):
+            middle = b.mean(axis=0) if len(b) else 0.0
+            squares = ((b - middle) ** 2).sum(axis=1)
+            right = np.vstack([(b - middle).T, squares]).astype("float32")
+            widest = np.sqrt(squares.max(initial=0.0))
+            # of the products in single precision, and of the differences as they are rounded in double precision
+            rough, fine = (16 * (b.shape[1] + 4) * np.finfo(t).eps for t in ("float32", "float64"))
+            farthest = np.sqrt((b ** 2).sum(axis=1).max(initial=0.0))
+            step = max(16, TILE // max(1, len(b)))
+            for start in range(0, len(a), step):
+                mine = a[start:start + step]
+                # the query's own square is the same in its whole row
+                gap = np.hstack([-2 * (mine - middle), np.ones((len(mine), 1))]).astype("float32") @ right
+                if gap.shape[1] > need:
+                    rounding = rough * (np.sqrt(((mine - middle) ** 2).sum(axis=1)) + widest) ** 2
+                    rounding += fine * (np.sqrt((mine ** 2).sum(axis=1)) + farthest) ** 2
+                    # the least of each of some groups: as many as are needed lie at or under the need-th of them
+                    wide = max(need, gap.shape[1] // 16)
+                    least = gap[:, :wide].copy()
+                    for i in range(wide, gap.shape[1], wide):
+                        part = gap[:, i:i + wide]
+                        np.minimum(least[:, :part.shape[1]], part, out=least[:, :part.shape[1]])
+                    limit = (np.partition(least, need - 1, axis=1)[:, need - 1] + rounding).astype("float32")
+                    far = gap > limit[:, None]
+                else:
+                    far = np.zeros(gap.shape, dtype=bool)
+                rows, cols = np.divmod(np.flatnonzero(~far), max(1, len(b)))
+                d = np.concatenate([np.zeros(0), *[
+                    np.sqrt(((b[cols[i:i + RECHECKED]] - mine[rows[i:i + RECHECKED]]) ** 2).sum(axis=1))
+                    for i in range(0, len(rows), RECHECKED)
+                ]])
+                keep = np.isfinite(d)
+                if exclude_self:
+                    keep &= other_ids[cols] != ids[start + rows]
+                rows, cols, d = rows[keep], cols[keep], d[keep]
+                best = np.lexsort((cols, d, rows))  # columns are in order of id
+                best = best[np.arange(len(best)) - np.searchsorted(rows[best], rows[best]) < k]
+                found.append((start + rows[best], order[cols[best]], d[best]))
+        return tuple(np.concatenate(v) for v in zip(*found)) if found else (order[:0], order[:0], np.zeros(0))
+
+    return search
+
+
+def _vectors(df: DataFrame, features: str, id_col: str) -> DataFrame:
+    """Ids and vectors; single precision stays as it is, which halves what is shuffled."""
+    kind = df.schema[features].dataType.simpleString()
+    return df.select(F.col(id_col).alias("id"), F.col(features).cast(kind if kind == "array<float>" else "array<double>").alias("x"))
+
+
 def _smallest(candidates: DataFrame, k: int) -> DataFrame:
     """The k smallest (distance, neighbour) per id.
 
@@ -122,16 +186,16 @@ def _smallest(candidates: DataFrame, k: int) -> DataFrame:
 
 def _locate(rows: DataFrame, centres: np.ndarray, block_rows: int) -> DataFrame:
     """Cell of the nearest pivot, distance to it, and a part number that keeps blocks bounded."""
-    id_type = rows.schema["id"].dataType.simpleString()
+    id_type, x_type = (rows.schema[c].dataType.simpleString() for c in ("id", "x"))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = np.stack(batch["x"]) if len(batch) else np.empty((0, centres.shape[1]))
+            x = np.stack(batch["x"]).astype(float) if len(batch) else np.empty((0, centres.shape[1]))
             d = np.stack([np.sqrt(((x - c) ** 2).sum(axis=1)) for c in centres], axis=1)
             cell = d.argmin(axis=1)
             yield batch.assign(cell=cell.astype("int32"), radius=d[np.arange(len(x)), cell])
 
-    placed = materialise(rows.mapInPandas(assign, f"id {id_type}, x array<double>, cell int, radius double"))
+    placed = materialise(rows.mapInPandas(assign, f"id {id_type}, x {x_type}, cell int, radius double"))
     sizes = placed.groupBy("cell").count().collect()
     parts = F.create_map(*[F.lit(v) for r in sizes for v in (r["cell"], max(1, math.ceil(r["count"] / block_rows)))])
     return placed.withColumn("part", F.pmod(F.xxhash64("id"), parts[F.col("cell")].cast("long")))

@@ -182,6 +182,32 @@ def test_nearest_is_exact(frame, blocks):
         assert [got[i][k] for k in (1, 2, 3, 4)] == [j for _, j in want]
 
 
+@pytest.mark.parametrize("offset", [0.0, 1e6])
+def test_block_search_equals_plain_distances(offset):
+    rng = np.random.default_rng(5)
+    b = rng.normal(size=(900, 6)).round(1) + offset
+    b[100:700] = b[0]  # more copies than are wanted
+    b[3, 2], b[4, 1] = np.nan, np.inf
+    ids = rng.permutation(900)
+    at, near, d = N.block_search(3, True)(b, ids, b, ids)
+    for i in range(900):
+        with np.errstate(invalid="ignore"):
+            plain = np.sqrt(((b - b[i]) ** 2).sum(axis=1))
+        want = sorted((v, ids[j]) for j, v in enumerate(plain) if j != i and np.isfinite(v))[:3]
+        assert list(zip(d[at == i], ids[near[at == i]])) == want
+
+
+def test_blocks_grow_with_the_points(frame, monkeypatch):
+    written = []
+    plain = N.materialise
+    monkeypatch.setattr(N, "materialise", lambda df: written.append(plain(df)) or written[-1])
+    monkeypatch.setattr(N, "BLOCK_ROWS", 10)
+    df = frame(vectors(1600, 2), "id int, x array<double>, y int")
+    N.nearest(df, df, "x", "id", 1, exclude_self=True).count()
+    pairs = [w for w in written if "q_part" in w.columns][0]
+    assert pairs.count() <= (3 * N.BLOCKS) ** 2
+
+
 def test_votes(frame):
     train = frame([(1, [0.0, 0.0], 0), (2, [0.1, 0.0], 0), (3, [5.0, 5.0], 1), (4, [5.1, 5.0], 1)], "id int, x array<double>, y int")
     test = frame([(10, [0.05, 0.0]), (11, [5.0, 5.1])], "id int, x array<double>")

@@ -223,6 +223,18 @@ def test_smote_balances_inside_the_minority(frame):
     assert len(made) == 27 and all(r["y"] == 1 and all(0 <= v <= 1 for v in r["x"]) for r in made)
 
 
+def test_rows_of_a_fits_task_are_bounded(frame, monkeypatch):
+    class Probe:
+        def fit(self, rows):
+            return [len(p) for p in rows.rdd.glom().collect()]
+
+    monkeypatch.setattr(M, "TASK_ROWS", 100)
+    rows = M.features_of(frame([(float(i), i % 2) for i in range(5000)], "a double, y int").coalesce(1), ["a"], "y")
+    sizes = M.fit(Probe(), rows)
+    assert sum(sizes) == 5000 and max(sizes) <= 120
+    assert max(len(p) for p in M.deal(rows).rdd.glom().collect()) <= 120
+
+
 def test_selection_and_names(frame):
     rng = random.Random(3)
     rows = []

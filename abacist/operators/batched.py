@@ -73,8 +73,9 @@ def newton_sums(rows: DataFrame, columns: list[str], fits: list[Logit], mean: np
             for k, at, beta in tasks:
                 z = np.hstack([np.ones((len(x), 1)), x[:, at]])
                 margin = z @ beta
-                p = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
-                value = (y * margin - np.logaddexp(0, margin)).sum()
+                small = np.exp(-np.abs(margin))
+                p = np.where(margin >= 0, 1.0, small) / (1 + small)
+                value = (y * margin - np.maximum(margin, 0) - np.log1p(small)).sum()
                 totals[k] += np.concatenate([[value], z.T @ (y - p), ((z * (p * (1 - p))[:, None]).T @ z).ravel()])
         for k, total in totals.items():
             yield pd.DataFrame({"fit": k, "slot": np.arange(len(total)), "x": total})
@@ -90,13 +91,21 @@ def logistic_fits(rows: DataFrame, label: str, sets: Sequence[Sequence[str]]) ->
     """A logistic regression without penalty for every set of columns, all in one job per Newton round."""
     columns = sorted({c for s in sets for c in s})
     rows = materialise(rows.select(F.col(label).cast("double").alias("label"), *[F.col(c).cast("double").alias(c) for c in columns]))
+    return newton_fits(rows, "label", sets)
+
+
+def newton_fits(rows: DataFrame, label: str, sets: Sequence[Sequence[str]], start: Logit | None = None) -> list[Logit]:
+    """``logistic_fits`` on a written table; ``start`` is a fit on the same rows whose columns lead every set."""
+    columns = sorted({c for s in sets for c in s})
+    rows = rows.select(F.col(label).cast("double").alias("label"), *[F.col(c).cast("double").alias(c) for c in columns])
     sizes = rows.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m_{c}") for c in columns],
                      *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).first()
     if not sizes["n"]:
         raise ValueError("no rows to fit on")
     mean = np.array([sizes[f"m_{c}"] or 0.0 for c in columns])
     scale = np.array([sizes[f"s_{c}"] or 1.0 for c in columns])
-    fits = [Logit(tuple(s), np.zeros(len(s) + 1), np.zeros(len(s) + 1)) for s in sets]
+    first = start.beta if start else np.zeros(1)
+    fits = [Logit(tuple(s), np.append(first, np.zeros(len(s) + 1 - len(first))), np.zeros(len(s) + 1)) for s in sets]
     for _ in range(ROUNDS):
         if all(f.done for f in fits):
             break
@@ -122,38 +131,89 @@ def areas(rows: DataFrame, label: str, fits: Sequence[Logit], **how) -> list[flo
     return [found.get(k) if found.get(k) is not None else float("nan") for k in range(len(fits))]
 
 
+SLOTS = 16_384
+"""Intervals of the margin in which candidates are compared before any exact area is computed."""
+
+
+def area_bounds(rows: DataFrame, label: str, fits: Sequence[Logit]) -> list[tuple[float, float]]:
+    """Least and greatest possible area under the ROC curve of every fit, from counts in intervals of its margin.
+
+    Only pairs inside an interval are undecided. At most ``SLOTS`` counts per fit are shuffled; rows never are.
+    """
+    rows = rows.select(F.col(label).cast("int").alias("label"), *[f.margin().alias(f"m{k}") for k, f in enumerate(fits)])
+    ends = rows.agg(*[e(f"m{k}").alias(f"{n}{k}") for k in range(len(fits)) for n, e in (("lo", F.min), ("hi", F.max), ("n", F.count))],
+                    F.count(F.lit(1)).alias("n")).first()
+    slots, level = [], set()
+    for k in range(len(fits)):
+        low, high = ends[f"lo{k}"], ends[f"hi{k}"]
+        known = ends[f"n{k}"] == ends["n"] > 0
+        if known and low == high and np.isfinite(low):
+            level.add(k)
+        wide = known and np.isfinite([low, high, high - low]).all() and high > low
+        slot = F.floor((F.col(f"m{k}") - F.lit(low)) / F.lit(high - low) * F.lit(float(SLOTS - 1))) if wide else F.lit(0)
+        slots.append(F.struct(F.lit(k).alias("fit"), slot.cast("int").alias("slot")))
+    counts = rows.select("label", F.explode(F.array(*slots)).alias("s")).groupBy("s.fit", "s.slot").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")).toPandas()
+    out = []
+    for k in range(len(fits)):
+        mine = counts[counts["fit"] == k].sort_values("slot")
+        pos, neg = (mine[c].astype(float).to_numpy() for c in ("pos", "neg"))
+        pairs = pos.sum() * neg.sum()
+        if k in level and pairs:  # all margins are equal: every pair is a tie
+            out.append((0.5, 0.5))
+            continue
+        won, open_ = (pos * (neg.cumsum() - neg)).sum(), (pos * neg).sum()
+        out.append((won / pairs, (won + open_) / pairs) if pairs else (float("nan"), float("nan")))
+    return out
+
+
+def best_fit(rows: DataFrame, label: str, fits: Sequence[Logit], names: Sequence[str]) -> int:
+    """Fit of the greatest exact area, ties by name; areas are computed only of fits whose bounds leave that open."""
+    if len(fits) == 1:
+        return 0
+    bounds = area_bounds(rows, label, fits)
+    reached = max(low for low, _ in bounds)
+    left = [k for k, (_, high) in enumerate(bounds) if not high < reached - 1e-9]  # sums of doubles; NaN stays
+    if len(left) > 1:
+        exact = dict(zip(left, areas(rows, label, [fits[k] for k in left])))
+        return max(left, key=lambda k: (exact[k], names[k]))
+    return left[0]
+
+
 def forward_selection(train: DataFrame, test: DataFrame, candidates: Sequence[str], label: str, start: Sequence[str] = (),
-                      max_steps: int | None = None) -> list[tuple[Logit, float, float]]:
-    """Forward selection by area under ROC on the test rows: per step the winner's fit and its areas on both parts.
+                      max_steps: int | None = None) -> list[Logit]:
+    """Forward selection by area under ROC on the test rows: per step the winner's fit on the training rows.
 
-    All candidates of a step are fitted together and scored together, so the jobs of a step do not grow with them.
+    All candidates of a step are fitted together and compared together, so the jobs of a step do not grow with them.
+    Both parts are read as they are: written tables spare computing them again.
     """
-    names = list(dict.fromkeys([*start, *candidates, label]))
-    train, test = materialise(train.select(*names)), materialise(test.select(*names))
     chosen, out = list(start), []
     for _ in range(len(candidates) if max_steps is None else max_steps):
         left = [c for c in candidates if c not in chosen]
         if not left:
             break
-        fits = logistic_fits(train, label, [[*chosen, c] for c in left])
-        on_test = areas(test, label, fits)
-        best = max(range(len(left)), key=lambda k: (on_test[k], left[k]))
-        out.append((fits[best], areas(train, label, [fits[best]])[0], on_test[best]))
+        fits = newton_fits(train, label, [[*chosen, c] for c in left], out[-1] if out else None)
+        best = best_fit(test, label, fits, left)
+        out.append(fits[best])
         chosen.append(left[best])
     return out
 
 
 def stepwise_logistic(train: DataFrame, test: DataFrame, candidates: Sequence[str], label: str, max_steps: int | None = None) -> DataFrame:
     """(step, features, auc_train, auc_test) of ``forward_selection``."""
+    names = list(dict.fromkeys([*candidates, label]))
+    train, test = materialise(train.select(*names)), materialise(test.select(*names))
     steps = forward_selection(train, test, candidates, label, max_steps=max_steps)
-    rows = [(i, ", ".join(f.columns), a, b) for i, (f, a, b) in enumerate(steps, 1)]
+    parts = [areas(p, label, steps) if steps else [] for p in (train, test)]
+    rows = [(i, ", ".join(f.columns), a, b) for i, (f, a, b) in enumerate(zip(steps, *parts), 1)]
     return train.sparkSession.createDataFrame(rows, "step int, features string, auc_train double, auc_test double")
 
 
 def next_best_logistic(rows: DataFrame, current: Sequence[str], candidates: Sequence[str], label: str, max_n: int = 5) -> list[str]:
     """Variables in the order that raises the area under ROC on the same rows most, up to ``max_n``."""
+    rows = materialise(rows.select(*dict.fromkeys([*current, *candidates, label])))
     steps = forward_selection(rows, rows, candidates, label, current, max(0, max_n - len(current)))
-    return list(steps[-1][0].columns) if steps else list(current)
+    return list(steps[-1].columns) if steps else list(current)
 
 
 @dataclass(frozen=True)

@@ -84,6 +84,25 @@ def test_selection_takes_the_best_each_step(rows):
     assert B.next_best_logistic(rows, ["c"], COLUMNS, "y", max_n=1) == ["c"]
 
 
+def test_exact_areas_only_where_bounds_leave_the_winner_open(rows, monkeypatch):
+    fits = B.logistic_fits(rows, "y", [["a"], ["b"], ["c"], ["d"]])
+    exact = B.areas(rows, "y", fits)
+    for (low, high), area in zip(B.area_bounds(rows, "y", fits), exact):
+        assert low - 1e-12 <= area <= high + 1e-12
+    best = max(range(4), key=lambda k: (exact[k], COLUMNS[k]))
+    monkeypatch.setattr(B, "SLOTS", 4)  # bounds too wide to tell
+    assert B.best_fit(rows, "y", fits, COLUMNS) == best
+    monkeypatch.undo()
+    monkeypatch.setattr(B, "areas", lambda *args: pytest.fail("areas of all candidates"))
+    assert B.best_fit(rows, "y", fits, COLUMNS) == best
+
+
+def test_fits_that_start_from_another_are_the_same(rows):
+    base = B.logistic_fits(rows, "y", [["a"]])[0]
+    cold, warm = B.newton_fits(rows, "y", [["a", "b"]])[0], B.newton_fits(rows, "y", [["a", "b"]], base)[0]
+    assert list(warm.coefficients.values()) == pytest.approx(list(cold.coefficients.values()), rel=1e-6)
+
+
 def test_missing_and_no_rows_raise(rows):
     broken = rows.withColumn("a", F.when(F.col("id") != 3, F.col("a")))
     for call in (lambda: B.logistic_fits(broken, "y", [["a"]]), lambda: B.elastic_net_folds(broken, ["a"], "z", "id", [0.0], [0.0])):

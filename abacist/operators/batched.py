@@ -35,6 +35,13 @@ class Logit:
     done: bool = False
     coefficients: dict[str, float] = field(default_factory=dict)
     intercept: float = 0.0
+    l1: np.ndarray | float = 0.0
+    l2: np.ndarray | float = 0.0
+    held_out: int | None = None
+
+    def penalty(self, beta: np.ndarray) -> float:
+        """Penalty per row: ``l1`` and ``l2`` weigh the coefficients, the intercept is free."""
+        return float(np.sum(self.l1 * np.abs(beta[1:])) + np.sum(self.l2 * beta[1:] ** 2) / 2)
 
     def margin(self) -> Column:
         out = F.lit(self.intercept)
@@ -45,43 +52,87 @@ class Logit:
     def take(self, sums: np.ndarray, n: int) -> None:
         """Go on from the sums at the tried coefficients: value, gradient and Hessian."""
         size = len(self.beta)
-        value, gradient, hessian = sums[0], sums[1:size + 1], sums[size + 1:].reshape(size, size)
+        value, gradient, hessian = sums[0] - n * self.penalty(self.tried()), sums[1:size + 1], sums[size + 1:].reshape(size, size)
         if value < self.value - TOLERANCE * n:  # too far: half the step
             self.share /= 2
             self.done = self.share < 1e-6
             return
-        self.beta = self.beta + self.share * self.step
-        self.step, self.share, self.value = np.linalg.lstsq(hessian, gradient, rcond=1e-12)[0], 1.0, value
-        self.done = bool(gradient @ self.step < TOLERANCE * n)
+        self.beta = self.tried()
+        self.step, self.share, self.value = self.newton_step(gradient, hessian, n), 1.0, value
+        gain = gradient @ self.step - n * (self.penalty(self.beta + self.step) - self.penalty(self.beta))
+        self.done = bool(gain < TOLERANCE * n)
+
+    def newton_step(self, gradient: np.ndarray, hessian: np.ndarray, n: int) -> np.ndarray:
+        """Step to the best point of the quadratic approximation less the penalty, by coordinates where that has corners."""
+        l1, l2 = (np.append(0.0, np.broadcast_to(v, len(self.beta) - 1)) * n for v in (self.l1, self.l2))
+        hessian = hessian + np.diag(l2)
+        gradient = gradient - l2 * self.beta
+        if not l1.any():
+            return np.linalg.lstsq(hessian, gradient, rcond=1e-12)[0]
+        step = np.zeros(len(self.beta))
+        for _ in range(10_000):
+            before = step.copy()
+            for j in np.flatnonzero(np.diag(hessian)):
+                at = hessian[j, j] * (self.beta[j] + step[j]) + gradient[j] - hessian[j] @ step
+                step[j] = np.sign(at) * max(abs(at) - l1[j], 0.0) / hessian[j, j] - self.beta[j]
+            if np.abs(step - before).max() < 1e-13:
+                break
+        return step
 
     def tried(self) -> np.ndarray:
         return self.beta + self.share * self.step
 
 
+def likelihood_sums(z: np.ndarray, y: np.ndarray, betas: np.ndarray, chunk: int = 2_000) -> np.ndarray:
+    """Log-likelihood, gradient and Hessian of each row of ``betas``; ``z`` holds a row per column, read in chunks that stay in cache."""
+    size = len(z)
+    i, j = np.triu_indices(size)
+    value, gradient, upper = np.zeros(len(betas)), np.zeros(betas.shape), np.zeros((len(betas), len(i)))
+    for start in range(0, len(y), chunk):
+        zs, ys = z[:, start:start + chunk], y[start:start + chunk]
+        margin = betas @ zs
+        small = np.exp(-np.abs(margin))
+        p = np.where(margin >= 0, 1.0, small) / (1 + small)
+        value += margin @ ys - (np.maximum(margin, 0) + np.log1p(small)).sum(axis=1)
+        gradient += (ys - p) @ zs.T
+        upper += (p * (1 - p)) @ (zs[i] * zs[j]).T
+    hessian = np.zeros((len(betas), size, size))
+    hessian[:, i, j] = hessian[:, j, i] = upper
+    return np.hstack([value[:, None], gradient, hessian.reshape(len(betas), -1)])
+
+
 def newton_sums(rows: DataFrame, columns: list[str], fits: list[Logit], mean: np.ndarray, scale: np.ndarray) -> dict[int, np.ndarray]:
-    """Value, gradient and Hessian of every fit at its tried coefficients, in one job."""
-    tasks = [(k, [columns.index(c) for c in f.columns], f.tried()) for k, f in enumerate(fits) if not f.done]
+    """Log-likelihood, gradient and Hessian of every fit at its tried coefficients, in one job.
+
+    A fit with a fold held out leaves out its rows; the rows then name their ``fold``.
+    """
+    tasks = [(k, (0, *[1 + columns.index(c) for c in f.columns]), f.held_out, f.tried()) for k, f in enumerate(fits) if not f.done]
+    folded = any(out is not None for _, _, out, _ in tasks)
 
     def partial(batches):
-        totals = {k: np.zeros(1 + len(b) + len(b) ** 2) for k, _, b in tasks}
+        totals = {k: np.zeros(1 + len(b) + len(b) ** 2) for k, _, _, b in tasks}
         for batch in batches:
             x = batch[columns].to_numpy(float)
             y = batch["label"].to_numpy(float)
             if not (np.isfinite(x).all() and np.isfinite(y).all()):
                 raise ValueError("missing values in the features or the label: impute them, or only score such rows")
-            x = (x - mean) / scale
-            for k, at, beta in tasks:
-                z = np.hstack([np.ones((len(x), 1)), x[:, at]])
-                margin = z @ beta
-                small = np.exp(-np.abs(margin))
-                p = np.where(margin >= 0, 1.0, small) / (1 + small)
-                value = (y * margin - np.maximum(margin, 0) - np.log1p(small)).sum()
-                totals[k] += np.concatenate([[value], z.T @ (y - p), ((z * (p * (1 - p))[:, None]).T @ z).ravel()])
+            z = np.vstack([np.ones(len(x)), ((x - mean) / scale).T])
+            fold = batch["fold"].to_numpy() if folded else np.zeros(len(x))
+            for here in np.unique(fold):
+                mine = fold == here
+                z_here, y_here = (z[:, mine], y[mine]) if folded else (z, y)
+                same: dict[tuple, list] = {}
+                for k, at, out, beta in tasks:
+                    if out is None or out != here:
+                        same.setdefault(at, []).append((k, beta))
+                for at, group in same.items():
+                    for (k, _), sums in zip(group, likelihood_sums(z_here[list(at)], y_here, np.array([b for _, b in group]))):
+                        totals[k] += sums
         for k, total in totals.items():
             yield pd.DataFrame({"fit": k, "slot": np.arange(len(total)), "x": total})
 
     parts = rows.mapInPandas(partial, "fit int, slot int, x double").groupBy("fit", "slot").agg(exact_sum("x").alias("x"))
-    out: dict[int, np.ndarray] = {k: np.zeros(1 + len(b) + len(b) ** 2) for k, _, b in tasks}
+    out: dict[int, np.ndarray] = {k: np.zeros(1 + len(b) + len(b) ** 2) for k, _, _, b in tasks}
     for r in parts.collect():
         out[r["fit"]][r["slot"]] = r["x"]
     return out
@@ -106,11 +157,16 @@ def newton_fits(rows: DataFrame, label: str, sets: Sequence[Sequence[str]], star
     scale = np.array([sizes[f"s_{c}"] or 1.0 for c in columns])
     first = start.beta if start else np.zeros(1)
     fits = [Logit(tuple(s), np.append(first, np.zeros(len(s) + 1 - len(first))), np.zeros(len(s) + 1)) for s in sets]
+    return newton_rounds(rows, columns, fits, mean, scale, [sizes["n"]] * len(fits))
+
+
+def newton_rounds(rows: DataFrame, columns: list[str], fits: list[Logit], mean: np.ndarray, scale: np.ndarray, n: Sequence[int]) -> list[Logit]:
+    """The fits brought to their end, one job per round for all; ``n`` holds the rows that each learns on."""
     for _ in range(ROUNDS):
         if all(f.done for f in fits):
             break
         for k, sums in newton_sums(rows, columns, fits, mean, scale).items():
-            fits[k].take(sums, sizes["n"])
+            fits[k].take(sums, n[k])
     for f in fits:
         at = [columns.index(c) for c in f.columns]
         f.coefficients = dict(zip(f.columns, (f.beta[1:] / scale[at]).tolist()))
@@ -118,9 +174,64 @@ def newton_fits(rows: DataFrame, label: str, sets: Sequence[Sequence[str]], star
     return fits
 
 
+def fold_fits(rows: DataFrame, columns: Sequence[str], folds: int, grid: Sequence[tuple[float, float]]) -> list[Logit]:
+    """A logistic regression per fold left out and (reg, elastic) of the grid, in that order, on a written table with ``label`` and ``fold``.
+
+    The penalty weighs coefficients of columns that are standardised over the rows of their fit, as in MLlib. All fits share one job per round.
+    """
+    columns = list(columns)
+    rest = [F.col("fold") != k for k in range(folds)]
+    seen = rows.agg(
+        *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))],
+        *[F.count_if(r).alias(f"n{k}") for k, r in enumerate(rest)],
+        *[F.stddev_samp(F.when(r, F.col(c))).alias(f"s{k}_{c}") for k, r in enumerate(rest) for c in columns],
+    ).first()
+    if not any(seen[f"n{k}"] for k in range(folds)):
+        raise ValueError("no rows to fit on")
+    mean = np.array([seen[f"m_{c}"] or 0.0 for c in columns])
+    scale = np.array([seen[f"s_{c}"] or 1.0 for c in columns])
+    fits, sizes = [], []
+    for k in range(folds):
+        live = [c for c in columns if seen[f"s{k}_{c}"]]
+        spread = np.array([seen[f"s{k}_{c}"] / scale[columns.index(c)] for c in live])
+        for reg, elastic in grid:
+            fits.append(Logit(tuple(live), np.zeros(len(live) + 1), np.zeros(len(live) + 1), held_out=k,
+                              l1=reg * elastic * spread, l2=reg * (1 - elastic) * spread ** 2))
+            sizes.append(seen[f"n{k}"])
+    return newton_rounds(rows, columns, fits, mean, scale, sizes)
+
+
+def logistic_grid_folds(rows: DataFrame, features: Sequence[str], label: str, regs: Sequence[float], elastics: Sequence[float],
+                        folds: int = 3, seed: int = 42) -> DataFrame:
+    """(params, metric): mean area under ROC over the folds of every grid point; folds whose area is undefined are left out.
+
+    Rows are drawn into folds as MLlib's cross validator draws them. Neither folds nor grid points add passes.
+    """
+    drawn = rows.select(F.col(label).cast("double").alias("label"), *[F.col(c).cast("double").alias(c) for c in features], F.rand(seed).alias("draw"))
+    drawn = materialise(drawn.withColumn("fold", F.least(F.floor(F.col("draw") * folds).cast("int"), F.lit(folds - 1))).drop("draw"))
+    grid = [(float(reg), float(elastic)) for reg in regs for elastic in elastics]
+    once = list(dict.fromkeys((reg, elastic if reg else 0.0) for reg, elastic in grid))  # without penalty all shares are one fit
+    fits = fold_fits(drawn, features, folds, once)
+    found = np.array(areas(drawn, "label", fits)).reshape(folds, len(once))
+    out = []
+    for reg, elastic in grid:
+        auc = found[:, once.index((reg, elastic if reg else 0.0))]
+        known = auc[~np.isnan(auc)]
+        out.append((f"elasticNetParam={elastic}, regParam={reg}", float(known.mean()) if len(known) else None))
+    return rows.sparkSession.createDataFrame(out, "params string, metric double")
+
+
 def areas(rows: DataFrame, label: str, fits: Sequence[Logit], **how) -> list[float]:
-    """Area under the ROC curve of every fit, from counts per fit and distinct margin; equal margins share their rank."""
-    margins = F.array(*[F.struct(F.lit(k).alias("fit"), f.margin().alias("score")) for k, f in enumerate(fits)])
+    """Area under the ROC curve of every fit, from counts per fit and distinct margin; equal margins share their rank.
+
+    A fit with a fold held out is judged on the rows of that fold.
+    """
+    held: dict[int | None, list] = {}
+    for k, f in enumerate(fits):
+        held.setdefault(f.held_out, []).append(F.struct(F.lit(k).alias("fit"), f.margin().alias("score")))
+    margins = F.array(*held.pop(None, []))
+    for fold, own in held.items():
+        margins = F.when(F.col("fold") == fold, F.array(*own)).otherwise(margins) if fold is not None else margins
     scored = rows.select(F.col(label).cast("int").alias("label"), F.explode(margins).alias("m")).select("label", "m.fit", "m.score")
     counts = materialise(scored.groupBy("fit", "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")))

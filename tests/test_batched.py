@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from abacist.operators import batched as B
@@ -137,3 +138,54 @@ def test_folds_equal_fits_without_them(rows, data):
         beta = np.linalg.lstsq(design[fold != k], z[fold != k], rcond=None)[0]
         errors.append(np.sqrt(((z - design @ beta)[fold == k] ** 2).mean()))
     assert found["rmse"] == pytest.approx(np.mean(errors), rel=1e-6)
+
+
+@pytest.fixture(scope="module")
+def folded(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 2)) * [3, 0.5] + [10, 0]
+    y = (rng.random(900) < 1 / (1 + np.exp(-(x[:, 0] - 10) / 3 + x[:, 1]))).astype(float)
+    return spark.createDataFrame(
+        [(float(b), float(p), float(q), 7.0, i % 3) for i, (b, (p, q)) in enumerate(zip(y, x))],
+        "label double, a double, b double, flat double, fold int").cache()
+
+
+def test_fits_of_folds_are_those_of_mllib(folded):
+    grid = [(0.0, 0.0), (0.1, 0.0), (0.05, 0.5), (0.3, 1.0)]
+    fits = B.fold_fits(folded, ["a", "b", "flat"], 3, grid)
+    assert [f.held_out for f in fits] == [k for k in range(3) for _ in grid]
+    for f, (reg, elastic) in zip(fits, grid * 3):
+        train = M.features_of(folded.where(folded.fold != f.held_out), ["a", "b"], "label")
+        model = M.logistic(regParam=reg, elasticNetParam=elastic, tol=1e-12, maxIter=1000).fit(train)
+        assert f.columns == ("a", "b")  # a constant column has no coefficient
+        assert list(f.coefficients.values()) == pytest.approx(model.coefficients.toArray().tolist(), abs=1e-5)
+        assert f.intercept == pytest.approx(model.intercept, abs=1e-4)
+    assert [f.coefficients["b"] for f, g in zip(fits, grid * 3) if g == (0.3, 1.0)] == [0.0] * 3
+
+
+def test_areas_of_folds_are_those_of_their_own_rows(folded):
+    fits = B.fold_fits(folded, ["a", "b"], 3, [(0.0, 0.0), (0.1, 0.5)])
+    got = B.areas(folded, "label", fits)
+    for f, area in zip(fits, got):
+        own = folded.where(folded.fold == f.held_out).select("label", f.margin().alias("m")).toPandas()
+        pos, neg = (own.m[own.label == v].to_numpy() for v in (1, 0))
+        assert area == pytest.approx(((pos[:, None] > neg) + (pos[:, None] == neg) / 2).mean(), abs=1e-12)
+
+
+def test_missing_values_stop_a_grid(spark, frame):
+    rows = frame([(0, 1.0), (1, None), (1, 2.0), (0, 3.0)], "y int, x double")
+    with pytest.raises(PythonException, match="missing values"):
+        B.logistic_grid_folds(rows, ["x"], "y", [0.0], [0.0], folds=2)
+
+
+def test_passes_of_a_grid_do_not_grow_with_its_fits(spark):
+    from abacist.queries import QUERIES
+
+    spark.sparkContext.setJobGroup("grid", "grid", True)
+    try:
+        found = QUERIES["cv_grid"](spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("grid")) < 100  # 12 fits, each with passes of its own, took more
+    assert {r["params"] for r in found} == {f"elasticNetParam={e}, regParam={r}" for e in (0.0, 0.5) for r in (0.0, 0.1)}
+    assert all(0.5 < r["metric"] < 1 for r in found)

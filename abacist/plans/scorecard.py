@@ -64,10 +64,9 @@ def run_scorecard(
         )
     first = models.fit(est, fit_rows)
 
-    reject_scored = models.score(first, _woe_features(rejects, bins, mono, chars, [id_col]), name="prob_default")
-    reject_scored = materialise(reject_scored.select(id_col, "prob_default"))
-    labels = credit.infer_rejects(reject_scored, "prob_default", accept, y, pooled)
-    labelled = rejects.join(labels.select(id_col, y), id_col)
+    reject_scored = models.score(first, _woe_features(rejects, bins, mono, chars, xs), name="prob_default")
+    reject_scored = materialise(reject_scored.select(*xs, "prob_default"))
+    labelled = credit.infer_rejects(reject_scored, "prob_default", accept, y, pooled)
 
     accepted = [split.where(F.col("split") == part) for part in ("train", "valid")]
     both = materialise(accepted[0].select(y, *xs).unionByName(accepted[1].select(y, *xs)).unionByName(labelled.select(y, *xs)))
@@ -78,7 +77,7 @@ def run_scorecard(
     coefs = models.coefficients(final, [*mono, *chars], accepts.sparkSession)
     card = credit.scorecard(final_bins, coefs, float(final.intercept), len(mono) + len(chars))
     test = split.where(F.col("split") == "test")
-    scored = models.score(final, _woe_features(test, final_bins, mono, chars, [id_col, y]))
-    points = credit.score_applicants(test, card, mono, chars).select(id_col, "score")
-    out = scored.select(id_col, y, "prob", "predicted").join(points, id_col)
+    points = credit.score_applicants(test, card, mono, chars)
+    scored = models.score(final, _woe_features(points, final_bins, mono, chars, [id_col, y, "score"]))
+    out = scored.select(id_col, y, "prob", "predicted", "score")
     return Scorecard(final_bins, credit.iv_table(final_bins), card, final, mono, chars), out

@@ -8,6 +8,7 @@ from abacist.operators import credit as C
 from abacist.operators import models as M
 from abacist.plans.scorecard import run_scorecard
 from abacist.queries.registry import load, query
+from abacist.session import materialise
 
 NUMERIC = ["l_discount", "l_tax", "l_quantity", "l_extendedprice", "l_linenumber"]
 TEXTS = ["l_returnflag", "l_linestatus"]
@@ -80,14 +81,17 @@ def iv_rank(spark, sf):
 
 
 def _applicants(spark, sf):
-    """Orders as applicants; a default is an order of much value from a customer with little balance."""
+    """Orders as applicants; a default is an order of much value from a customer with little balance.
+
+    Written once: the steps of a scorecard read their applicants again and again, and each time would join them.
+    """
     customer = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment", "c_nationkey")
     orders = load(spark, sf, "orders").join(customer, "o_custkey")
     risk = F.col("o_totalprice") / 1000 - F.col("c_acctbal") / 50 + F.when(F.col("o_orderstatus") == "F", 60).otherwise(0)
-    return orders.select(
+    return materialise(orders.select(
         "o_orderkey", "o_totalprice", F.month("o_orderdate").alias("month"), "c_acctbal", "c_nationkey", "o_orderstatus", "c_mktsegment",
         "o_orderpriority", (risk > 200).cast("int").alias("defaulted"),
-    )
+    ))
 
 
 APPLICANT_COLUMNS = ["o_totalprice", "month", "c_acctbal", "c_nationkey", "o_orderstatus", "c_mktsegment"]

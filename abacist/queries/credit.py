@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from abacist.operators import credit as C
 from abacist.operators import models as M
+from abacist.operators.sampling import hash_number
 from abacist.plans.scorecard import run_scorecard
 from abacist.queries.registry import load, query
 from abacist.session import materialise
@@ -80,7 +81,7 @@ def iv_rank(spark, sf):
     return C.iv_table(bins).orderBy(F.desc("iv"))
 
 
-def _applicants(spark, sf):
+def _applicants(spark, sf, *more):
     """Orders as applicants; a default is an order of much value from a customer with little balance.
 
     Written once: the steps of a scorecard read their applicants again and again, and each time would join them.
@@ -90,7 +91,7 @@ def _applicants(spark, sf):
     risk = F.col("o_totalprice") / 1000 - F.col("c_acctbal") / 50 + F.when(F.col("o_orderstatus") == "F", 60).otherwise(0)
     return materialise(orders.select(
         "o_orderkey", "o_totalprice", F.month("o_orderdate").alias("month"), "c_acctbal", "c_nationkey", "o_orderstatus", "c_mktsegment",
-        "o_orderpriority", (risk > 200).cast("int").alias("defaulted"),
+        "o_orderpriority", (risk > 200).cast("int").alias("defaulted"), *more,
     ))
 
 
@@ -98,10 +99,10 @@ APPLICANT_COLUMNS = ["o_totalprice", "month", "c_acctbal", "c_nationkey", "o_ord
 
 
 def _scorecard(spark, sf):
-    rows = _applicants(spark, sf)
+    rows = _applicants(spark, sf, hash_number("o_orderkey", 42).alias("draw"))
     accepted = rows.where(F.col("o_orderpriority") != "5-LOW").drop("o_orderpriority")
-    rejected = rows.where(F.col("o_orderpriority") == "5-LOW").drop("o_orderpriority", "defaulted")
-    return run_scorecard(accepted, rejected, "o_orderkey", "defaulted", APPLICANT_COLUMNS)
+    rejected = rows.where(F.col("o_orderpriority") == "5-LOW").drop("o_orderpriority", "defaulted", "draw")
+    return run_scorecard(accepted, rejected, "o_orderkey", "defaulted", APPLICANT_COLUMNS, draw="draw")
 
 
 @query("scorecard_points")
@@ -153,6 +154,6 @@ def refit_rejects(spark, sf):
     names = ["new_" + x for x in [*mono, *chars]]
     _, model = C.refit_with_rejects(
         [accepted], rejected, "defaulted", APPLICANT_COLUMNS,
-        lambda woe: M.fit(M.logistic(), M.features_of(woe, names, "defaulted")),
+        lambda woe: M.fit_counted(M.logistic(), woe, names, "defaulted"),
     )
     return M.coefficients(model, names, spark)

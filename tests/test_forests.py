@@ -118,3 +118,36 @@ def test_missing_values_and_odd_labels_stop_a_forest(frame, monkeypatch):
         rows = M.features_of(frame([(1.0, 1.0), (label, 2.0)], "y double, x double"), ["x"], "y")
         with pytest.raises(Exception, match="whole numbers"):
             M.fit(M.forest(2, 2), rows)
+
+
+def test_packed_nodes_score_like_mllib(noisy, frame):
+    train = M.features_of(noisy, ["a", "b", "c", "d"], "y")
+    model = T.fit_forest(M.forest(20, 30), train, 6000)
+    holed = M.features_of(frame([(1.0, None, 2.0, 3.0, 0), (9.0, 0.1, 2.0, 3.0, 1)], "a double, b double, c double, d double, y int"), ["a", "b", "c", "d"], "y")
+    rows = train.limit(500).unionByName(holed).coalesce(1).cache()
+    assert str(model.transform(rows).collect()) == str(T.RandomForestClassificationModel._transform(model, rows).collect())
+    assert M.score(model, rows).where("prob is null").count() == 1
+    assert model.transform(rows.where("label > 5")).count() == 0
+
+
+def test_the_zoo_has_a_whole_forest(spark, frame, monkeypatch, tmp_path):
+    from abacist.queries import models as Q
+
+    rows = [(i, float(i % 50 + 1), 100.0 * i, (i % 11) / 100, (i % 9) / 100, i % 7) for i in range(400)]
+    columns = "l_orderkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_linenumber int"
+    frame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    taken = []
+    monkeypatch.setattr(Q.M, "compare_models", lambda zoo, train, test: taken.append(zoo))
+    Q.model_zoo(spark, str(tmp_path))
+    assert (taken[0]["forest"].getNumTrees(), taken[0]["forest"].getMaxDepth()) == (100, 30)
+
+
+def test_compared_models_score_their_rows_once(noisy, monkeypatch):
+    monkeypatch.setattr(T, "PLAIN_WORK", 0)
+    train, test = (M.features_of(noisy.where(f"id % 2 = {k}"), ["a", "b", "c", "d"], "y") for k in (0, 1))
+    zoo = {"forest": M.forest(10, 30), "logistic": M.logistic(), "boosting": M.gbt("regressor", maxIter=2, seed=1)}
+    got = {r["model"]: (r["accuracy"], r["auc"]) for r in M.compare_models(zoo, train, test).collect()}
+    for name, est in zoo.items():
+        model = M.fit(est, train)
+        hit = M.score(model, test).agg(F.avg((F.col("predicted") == F.col("label")).cast("double"))).first()[0]
+        assert got[name] == pytest.approx((hit, M._auc(model, test)), abs=1e-4)  # MLlib's area joins scores by how rows lie
